@@ -14,9 +14,10 @@ from waybill.operators.history import last_before
 from waybill.plans.dws import Dims, once_per_order
 from waybill.schemas import MONEY
 
-# Change logs start here and order k's life starts (k mod 30 days) seconds later.
+# Change logs start here; order k's life starts k times PACE seconds later, modulo 30 days.
 EPOCH = "2024-01-01T00:00:00Z"
 SPREAD = 30 * 86400
+PACE = 1733
 STEP_HOURS = 6
 # Status history by final state. The last step of F and P comes after the order has closed.
 HISTORY = {
@@ -148,7 +149,7 @@ def first_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def born(key: str) -> Column:
     """When the life of order ``key`` starts in the change logs."""
     start = F.unix_seconds(F.lit(EPOCH).cast("timestamp"))
-    return F.timestamp_seconds(start + F.col(key) % SPREAD)
+    return F.timestamp_seconds(start + F.col(key) * PACE % SPREAD)
 
 
 def iso(ts: Column) -> Column:

@@ -50,9 +50,9 @@ class DimTables:
         folder = self._folder(config)
         upto = self._ids(f"{folder}/snapshot", "upto", "/_SUCCESS")
         since = upto[-1] if upto else -1
-        schema = empty_dim(self.spark, config).schema
+        columns = ", ".join(f"`{c}` string" for c in config.columns)
         table = (
-            self.spark.read.schema(schema).parquet(f"{folder}/snapshot/upto={since}")
+            self.spark.read.schema(columns).parquet(f"{folder}/snapshot/upto={since}")
             if upto
             else empty_dim(self.spark, config)
         )
@@ -60,7 +60,7 @@ class DimTables:
         if not newer:
             return table
         changed = (
-            self.spark.read.schema(schema.add("ts", "timestamp").add("batch_id", "bigint"))
+            self.spark.read.schema(f"{columns}, ts timestamp, batch_id bigint")
             .option("basePath", f"{folder}/change")
             .parquet(*[f"{folder}/change/batch_id={i}" for i in newer])
         )
