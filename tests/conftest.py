@@ -20,5 +20,3 @@ def spark(tmp_path_factory):
     spark.stop()
 
 
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

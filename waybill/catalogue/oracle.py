@@ -373,3 +373,23 @@ SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, epoch_ms(s) AS ts,
        epoch_ms(date_trunc('day', s + INTERVAL 8 HOURS)) - 28800000 AS day_start
 FROM t""",
 }
+
+BORN = "TIMESTAMP '2024-01-01' + to_seconds((l_orderkey * 1733) % 2592000)"
+ORACLE |= {
+    "stream_day_count": ORACLE["sort_day"],
+    "stream_early_results": ORACLE["sort_day"],
+    "stream_dedup_day": f"""
+SELECT {day(BORN)} AS cur_date, count(DISTINCT l_orderkey) AS dispatch_order_count_base
+FROM lineitem GROUP BY 1""",
+    "stream_org_order_day": f"""
+WITH {SENDERS},{ORG},{REGION},
+placed AS (SELECT DISTINCT l_orderkey, {BORN} AS ts FROM lineitem),
+totals AS (
+  SELECT {day('ts')} AS cur_date, d.org_id, d.org_name, arg_min(s.city_id, (ts, s.city_id)) AS city_id,
+         CAST(sum(amount) AS DOUBLE) AS order_amount_base, count(*) AS order_count_base
+  FROM placed JOIN senders s ON l_orderkey = o_orderkey
+  LEFT JOIN district_org d ON d.region_id = s.district_id GROUP BY 1, 2, 3)
+SELECT t.*, p.name AS city_name FROM totals t LEFT JOIN places p ON p.id = city_id""",
+    "stream_order_cargo": f"SELECT * FROM ({ORACLE['order_events']}) WHERE event = 'order'",
+    "stream_order_events": ORACLE["order_events"],
+}

@@ -60,7 +60,7 @@ def order_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def first_line_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dws.once_per_order(S.cargo_lines(spark, sf_dir)).select(
+    return dws.once_per_order(S.cargo_lines(table(spark, sf_dir, "lineitem"))).select(
         "order_id",
         F.col("id.l_linenumber").alias("line"),
         "cargo_type",
@@ -71,7 +71,7 @@ def first_line_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def first_line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line kept, the first of its order counting 1 and the others 0."""
-    flagged = with_first_flag(S.cargo_lines(spark, sf_dir), ["order_id"], ["ts", "id"], "counted")
+    flagged = with_first_flag(S.cargo_lines(table(spark, sf_dir, "lineitem")), ["order_id"], ["ts", "id"], "counted")
     return flagged.select(
         "order_id", F.col("id.l_linenumber").alias("line"), "cargo_type", "counted"
     )
@@ -79,7 +79,8 @@ def first_line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.order_events(
-        ev.order_changes(S.order_log(spark, sf_dir)), ev.cargo_changes(S.cargo_log(spark, sf_dir))
+        ev.order_changes(S.order_log(S.senders(spark, sf_dir))),
+        ev.cargo_changes(S.cargo_log(table(spark, sf_dir, "lineitem"))),
     )
 
 
@@ -105,7 +106,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bound_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inbound, sort and outbound events per organisation and day."""
     return (
-        ev.bound_events(S.bound_log(spark, sf_dir))
+        ev.bound_events(S.bound_log(table(spark, sf_dir, "lineitem")))
         .groupBy("event", "org_id", F.substring("event_time", 1, 10).alias("cur_date"))
         .agg(
             F.count("*").alias("event_count"),
@@ -117,7 +118,7 @@ def bound_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def transport_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.transport_finishes(S.transport_log(spark, sf_dir)).select(
+    return ev.transport_finishes(S.transport_log(table(spark, sf_dir, "lineitem"))).select(
         F.col("id.l_linenumber").alias("line"),
         "start_org_id",
         "start_org_name",
@@ -214,7 +215,7 @@ def org_receive_line_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.bound_events(S.bound_log(spark, sf_dir)).filter("event = 'sort'")
+    return ev.bound_events(S.bound_log(table(spark, sf_dir, "lineitem"))).filter("event = 'sort'")
 
 
 @query
@@ -226,7 +227,7 @@ def sort_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truck_model_finish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(
         dws.TRANS_ORG_TRUCK_MODEL_TRANS_FINISH_DAY,
-        ev.transport_finishes(S.transport_log(spark, sf_dir)),
+        ev.transport_finishes(S.transport_log(table(spark, sf_dir, "lineitem"))),
         S.dims(spark, sf_dir),
     )
 
@@ -388,7 +389,7 @@ def ods_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dwd_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transfer events to their three topics and one of them back."""
     root = session.work_dir(spark, "dwd")
-    save_topics(ev.bound_messages(ev.bound_events(S.bound_log(spark, sf_dir))), root)
+    save_topics(ev.bound_messages(ev.bound_events(S.bound_log(table(spark, sf_dir, "lineitem")))), root)
     counts = spark.read.parquet(root).groupBy("topic").agg(F.count("*").alias("row_count"))
     detail = ev.parse_detail(
         load_topic(spark, root, "tms_dwd_bound_sort"), "org_id string, sort_time string, ts timestamp"

@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def live_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of its files."""
+    schema = table(spark, sf_dir, name).schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    return files.parquet(sf_dir)
+
+
 def text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -89,9 +96,9 @@ LINE = [
 ]
 
 
-def cargo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cargo_lines(lines: DataFrame) -> DataFrame:
     """Order lines with their creation time: the shipping date at a time of day."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.struct(*LINE).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("cargo_type"),
@@ -100,9 +107,9 @@ def cargo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def senders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the place of their customer."""
-    o = table(spark, sf_dir, "orders")
+def senders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Orders (by default the whole table) with the place of their customer."""
+    o = table(spark, sf_dir, "orders") if orders is None else orders
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     place = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
@@ -130,7 +137,7 @@ def senders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order detail rows: every line widened by its order."""
-    return cargo_lines(spark, sf_dir).join(senders(spark, sf_dir), "order_id")
+    return cargo_lines(table(spark, sf_dir, "lineitem")).join(senders(spark, sf_dir), "order_id")
 
 
 def first_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +146,7 @@ def first_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     A placed order's time is its line's, so the first line is known before the join: one row
     per order is shuffled instead of every line, and a hot order is thinned out first.
     """
-    first = once_per_order(cargo_lines(spark, sf_dir))
+    first = once_per_order(cargo_lines(table(spark, sf_dir, "lineitem")))
     return first.join(senders(spark, sf_dir), "order_id")
 
 
@@ -160,12 +167,12 @@ def images(fields: dict[str, Column]) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
 
 
-def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed ``order_info`` envelopes: each order's insert and its status updates."""
+def order_log(orders: DataFrame) -> DataFrame:
+    """Typed ``order_info`` envelopes of ``senders``: insert and status updates per order."""
     path = F.lit(None).cast("string")
     for state, steps in HISTORY.items():
         path = F.when(F.col("o_status") == state, F.lit(steps)).otherwise(path)
-    o = senders(spark, sf_dir).withColumnRenamed("status", "o_status")
+    o = orders.withColumnRenamed("status", "o_status")
     steps = o.withColumn("path", F.split(path, ",")).select(
         "*", F.posexplode("path").alias("step", "status")
     )
@@ -207,7 +214,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cargo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cargo_log(lines: DataFrame) -> DataFrame:
     """Typed ``order_cargo`` inserts, from 4 s before their order to 8 s after it."""
     at = born("l_orderkey") + F.make_dt_interval(secs=F.col("l_linenumber") * 2 - 6)
     after = {
@@ -222,7 +229,7 @@ def cargo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "update_time": iso(at),
         "is_deleted": F.lit("0"),
     }
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.lit("c").alias("op"),
         at.alias("ts"),
         F.lit("order_cargo").alias("table"),
@@ -231,7 +238,7 @@ def cargo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bound_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bound_log(lines: DataFrame) -> DataFrame:
     """Typed ``order_org_bound`` envelopes: one passage through an organisation per line.
 
     Inserted on arrival; flag R sets sorting and departure in one update, A in two, N only
@@ -276,10 +283,10 @@ def bound_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return table(spark, sf_dir, "lineitem").select(F.explode(steps).alias("e")).select("e.*")
+    return lines.select(F.explode(steps).alias("e")).select("e.*")
 
 
-def transport_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transport_log(lines: DataFrame) -> DataFrame:
     """Typed ``transport_task`` updates: one trip per line; flag N had ended before."""
     end = F.unix_millis(instant("l_shipdate", F.col("l_orderkey") % 1440))
     start = end - F.col("l_quantity").cast("bigint") * 3_600_000
@@ -305,7 +312,7 @@ def transport_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.struct(
         F.when(F.col("l_returnflag") == "N", (end - 1000).cast("string")).alias("actual_end_time")
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.lit("u").alias("op"), before.alias("before"), images(after).alias("after")
     )
 

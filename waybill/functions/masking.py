@@ -13,7 +13,7 @@ ID_CARD_18 = (
     r"^[1-9]\d{5}(18|19|([23]\d))\d{2}((0[1-9])|(10|11|12))"
     r"(([0-2][1-9])|10|20|30|31)\d{3}[0-9Xx]$"
 )
-ID_CARD_15 = r"^[1-9]\d{5}\d{2}((0[1-9])|(10|11|12))(([0-2][1-9])|10|20|30|31)\d{2}$"
+ID_CARD_OLD = r"^[1-9]\d{5}\d{2}((0[1-9])|(10|11|12))(([0-2][1-9])|10|20|30|31)\d{2}$"
 EMAIL = r"^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(.[a-zA-Z0-9_-]+)+$"
 
 # EMAIL lets its wildcard match word characters too, so a backtracking matcher needs
@@ -51,7 +51,7 @@ def is_phone(value) -> Column:
 
 
 def is_id_card(value) -> Column:
-    return _whole(_col(value), ID_CARD_18) | _whole(_col(value), ID_CARD_15)
+    return _whole(_col(value), ID_CARD_18) | _whole(_col(value), ID_CARD_OLD)
 
 
 def is_email(value) -> Column:

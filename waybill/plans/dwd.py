@@ -33,7 +33,7 @@ def _changes(ods: DataFrame, table: str, after: str, before: str | None = None)
     return route(live_changes(parse_envelope(ods, after, before)), table)
 
 
-def order_details(ods: DataFrame, salts: int = 16) -> DataFrame:
+def order_details(ods: DataFrame, salts: int = 4) -> DataFrame:
     """``event`` and detail columns of all order events; batch and streaming."""
     orders = order_changes(_changes(ods, "order_info", f"struct<{_ddl(ORDER_INFO)}>", "struct<status:string>"))
     cargo = cargo_changes(_changes(ods, "order_cargo", f"struct<{_ddl(ORDER_CARGO)}>", "struct<id:string>"))
@@ -51,7 +51,7 @@ def transport_details(ods: DataFrame) -> DataFrame:
     return transport_finishes(_changes(ods, "transport_task", row, "struct<actual_end_time:string>"))
 
 
-def order_topics(ods: DataFrame, salts: int = 16) -> DataFrame:
+def order_topics(ods: DataFrame, salts: int = 4) -> DataFrame:
     return order_messages(order_details(ods, salts))
 
 

@@ -52,13 +52,20 @@ class Metric:
     totals: Callable[..., DataFrame]
     named: Callable[[DataFrame, Dims], DataFrame]
 
+    @property
+    def counts_orders(self) -> bool:
+        """Whether rows are reduced to one per order first."""
+        return self.ddl == ORDER_EVENT
+
     def batch(self, detail: DataFrame, dims: Dims = Dims(), **options) -> DataFrame:
         """The metric of all detail rows, columns in insert order."""
         return self.finish(self.totals(detail, dims, **options), dims)
 
-    def stream(self, detail: DataFrame, dims: Dims = Dims(), **options) -> DataFrame:
+    def stream(
+        self, detail: DataFrame, dims: Dims = Dims(), delay: str | None = None, **options
+    ) -> DataFrame:
         """Running totals of a detail stream; ``finish`` each micro-batch of them."""
-        return self.totals(detail.withWatermark("ts", self.delay), dims, **options)
+        return self.totals(detail.withWatermark("ts", delay or self.delay), dims, **options)
 
     def finish(self, totals: DataFrame, dims: Dims = Dims()) -> DataFrame:
         stamped = self.named(totals, dims).withColumn("ts", processing_millis())

@@ -6,7 +6,6 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill import session
@@ -14,7 +13,7 @@ from waybill.config import JobConfig
 from waybill.operators.events import parse_detail
 from waybill.plans import dim, dwd, dws, ods
 from waybill.plans.dws import Metric
-from waybill.schemas import BOUND_EVENT, ODS_TOPIC
+from waybill.schemas import ODS_TOPIC
 from waybill.sources.changelog import read_changes
 from waybill.sources.dims import read_config, read_dims
 from waybill.sources.topics import read_topic
@@ -48,7 +47,7 @@ def _dws(metric: Metric) -> Callable:
     def run(spark: SparkSession, config: JobConfig) -> StreamingQuery:
         values = read_topic(spark, config, metric.topic, metric.table)
         detail = parse_detail(values, wire_ddl(metric))
-        options = {"salts": int(config["hot-key-salts"])} if "order_id string" in metric.ddl and metric.ddl != BOUND_EVENT else {}
+        options = {"salts": int(config["count-salts"])} if metric.counts_orders else {}
         totals = metric.stream(detail, read_dims(spark, config), **options)
         return write_metric(
             totals, lambda batch: metric.finish(batch, read_dims(spark, config)), config, metric.table
@@ -68,7 +67,7 @@ JOBS: dict[str, Callable[[SparkSession, JobConfig], StreamingQuery]] = {
     "dwd_order_relevant": _dwd(
         "dwd_order_relevant",
         "dwd_order_relevant_app",
-        lambda v, c: dwd.order_topics(v, int(c["hot-key-salts"])),
+        lambda v, c: dwd.order_topics(v, int(c["line-salts"])),
     ),
     "dwd_bound_relevant": _dwd(
         "dwd_bound_relevant", "dwd_bound_relevant_app", lambda v, c: dwd.bound_topics(v)

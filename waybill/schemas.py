@@ -92,6 +92,13 @@ BOUND_TOPICS = {
     "outbound": ("tms_dwd_bound_outbound", "outbound_time", "outbound_emp_id"),
 }
 TRANSPORT_TOPIC = "tms_dwd_trans_trans_finish"
+# Which job writes a topic.
+TOPIC_WRITERS = {
+    ODS_TOPIC: "ods",
+    **{topic: "dwd_order_relevant" for topic, _ in ORDER_TOPICS.values()},
+    **{topic: "dwd_bound_relevant" for topic, _, _ in BOUND_TOPICS.values()},
+    TRANSPORT_TOPIC: "dwd_trans_trans_finish",
+}
 
 # Metric table -> its columns, in the order rows are inserted.
 METRICS = {

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.config import JobConfig
+from waybill.schemas import TOPIC_WRITERS
 
 
 def topic_values(messages: DataFrame) -> DataFrame:
@@ -26,9 +27,8 @@ def read_topic(spark: SparkSession, config: JobConfig, topic: str, group_id: str
         files = spark.readStream.schema("value string, topic string").options(
             **config.file_options()
         )
-        return topic_values(
-            files.parquet(config["topic-root"]).filter(F.col("topic") == topic)
-        )
+        folder = f"{config['topic-root']}/{TOPIC_WRITERS[topic]}"
+        return topic_values(files.parquet(folder).filter(F.col("topic") == topic))
     return topic_values(
         spark.readStream.format("kafka").options(**kafka_source(config, topic, group_id)).load()
     )
