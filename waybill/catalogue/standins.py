@@ -244,10 +244,14 @@ def bound_log(lines: DataFrame) -> DataFrame:
     Inserted on arrival; flag R sets sorting and departure in one update, A in two, N only
     sorts and then corrects its sorting time, which is no event.
     """
+    steps = F.when(F.col("l_returnflag") == "R", 2).otherwise(3)
+    passed = lines.select("*", F.explode(F.sequence(F.lit(1), steps)).alias("step"))
+    flag, step = F.col("l_returnflag"), F.col("step")
     inbound = F.unix_millis(instant("l_shipdate", F.col("l_orderkey") % 1440))
     sort = inbound + F.col("l_linenumber") * 3_600_000
     outbound = sort + F.col("l_linenumber") * 1_800_000
-    none = F.lit(None).cast("string")
+    corrected = F.when((step == 3) & (flag == "N"), sort + 1000).otherwise(sort)
+    leaves = ((flag == "R") & (step == 2)) | ((flag == "A") & (step == 3))
 
     def image(sort_time: Column, outbound_time: Column) -> Column:
         return images(
@@ -264,26 +268,12 @@ def bound_log(lines: DataFrame) -> DataFrame:
             }
         )
 
-    def change(op: str, before: Column, after: Column) -> Column:
-        return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
-
-    arrived, sorted_, left = image(none, none), image(sort, none), image(sort, outbound)
-    insert = change("c", F.when(F.lit(False), arrived), arrived)
-    steps = (
-        F.when(F.col("l_returnflag") == "R", F.array(insert, change("u", arrived, left)))
-        .when(
-            F.col("l_returnflag") == "A",
-            F.array(insert, change("u", arrived, sorted_), change("u", sorted_, left)),
-        )
-        .otherwise(
-            F.array(
-                insert,
-                change("u", arrived, sorted_),
-                change("u", sorted_, image(sort + 1000, none)),
-            )
-        )
+    nothing = F.lit(None).cast("bigint")
+    return passed.select(
+        F.when(step == 1, "c").otherwise("u").alias("op"),
+        F.when(step > 1, image(F.when(step == 3, sort), nothing)).alias("before"),
+        image(F.when(step > 1, corrected), F.when(leaves, outbound)).alias("after"),
     )
-    return lines.select(F.explode(steps).alias("e")).select("e.*")
 
 
 def transport_log(lines: DataFrame) -> DataFrame:

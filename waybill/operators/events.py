@@ -160,42 +160,36 @@ def bound_events(changes: DataFrame) -> DataFrame:
     An insert is an inbound event; one update may give both a sort and an outbound event.
     """
     before, after = F.col("before"), F.col("after")
-    had = before.isNotNull()
 
-    def event(name: str, condition: Column) -> Column:
+    def event(name: str) -> Column:
         _, time_field, emp_field = BOUND_TOPICS[name]
-        return F.when(
-            condition,
-            F.struct(
-                F.lit(name).alias("event"),
-                timez.local_millis_instant(after[time_field]).alias("ts"),
-                after[emp_field].alias("emp_id"),
-            ),
+        return F.struct(
+            F.lit(name).alias("event"),
+            after[time_field].cast("string").alias("millis"),
+            after[emp_field].alias("emp_id"),
         )
 
-    found = F.array_compact(
-        F.array(
-            event("inbound", F.col("op") == "c"),
-            event("sort", had & filled_in("op", before["sort_time"], after["sort_time"])),
-            event(
-                "outbound",
-                had & filled_in("op", before["outbound_time"], after["outbound_time"]),
-            ),
-        )
+    sorted_ = filled_in("op", before["sort_time"], after["sort_time"])
+    left = filled_in("op", before["outbound_time"], after["outbound_time"])
+    found = F.when(F.col("op") == "c", F.array(event("inbound"))).when(
+        before.isNotNull(),
+        F.when(sorted_ & left, F.array(event("sort"), event("outbound")))
+        .when(sorted_, F.array(event("sort")))
+        .when(left, F.array(event("outbound"))),
     )
     return changes.select(
         after["id"].alias("id"),
         after["order_id"].alias("order_id"),
         after["org_id"].alias("org_id"),
-        F.explode(found).alias("__e"),
+        F.inline(found),
     ).select(
-        F.col("__e.event").alias("event"),
+        "event",
         "id",
         "order_id",
         "org_id",
-        timez.local_text("__e.ts").alias("event_time"),
-        F.col("__e.emp_id").alias("emp_id"),
-        F.col("__e.ts").alias("ts"),
+        timez.local_text(timez.local_millis_instant("millis")).alias("event_time"),
+        "emp_id",
+        timez.local_millis_instant("millis").alias("ts"),
     )
 
 
