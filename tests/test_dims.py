@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 from util import envelope, lines, rows
 
@@ -49,23 +50,28 @@ def test_upsert_keeps_the_newest_row_per_key(spark, tmp_path):
     # A repeated batch changes nothing, nor does folding changes into a snapshot.
     apply_dim_changes(tables, changes(spark, org("2", "two b", 7), org("3", None, 8)), cfg, 1)
     assert rows(tables.read(ORG)) == want
-    tables.compact(ORG)
+    tables.table(ORG).compact()
     assert rows(tables.read(ORG)) == want
     apply_dim_changes(tables, changes(spark, org("1", "last", 9)), cfg, 2)
     assert rows(tables.read(ORG)) == [("1", "last", None), *want[1:]]
+    tables.table(ORG).compact()
+    left = {p.name for p in (tmp_path / "dim_base_organ").iterdir()}
+    assert left == {"batch_id=2", "upto=1", "upto=2"}
+    with pytest.raises(ValueError, match="new checkpoint"):
+        apply_dim_changes(tables, changes(spark, org("1", "x", 9)), cfg, 0)
 
 
 def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     tables, cfg = DimTables(spark, str(tmp_path)), config(spark, ORG)
     apply_dim_changes(tables, changes(spark, org("1", "a", 1)), cfg, 0)
-    (tmp_path / "dim_base_organ" / "snapshot" / "upto=0").mkdir()
+    (tmp_path / "dim_base_organ" / "upto=0").mkdir()
     assert rows(tables.read(ORG)) == [("1", "a", None)]
 
 
 def test_create_makes_an_empty_text_table(spark, tmp_path):
     tables = DimTables(spark, str(tmp_path))
-    tables.create(ORG)
-    tables.create(ORG)
+    tables.table(ORG).create()
+    tables.table(ORG).create()
     df = tables.read(ORG)
     assert df.count() == 0
     assert [f.simpleString() for f in df.schema] == [

@@ -11,7 +11,7 @@ from waybill.plans import dwd, dws, jobs
 from waybill.schemas import DIM_CONFIG, METRICS
 from waybill.sources.changelog import live_changes, parse_envelope, read_changes, route
 from waybill.streaming.order_events import order_events_stream, placed_orders_join
-from waybill.streaming.sinks import latest_metric, metric_versions, write_metric
+from waybill.streaming.sinks import latest_metric, metric_table, write_metric
 
 AT = dt.datetime(2023, 1, 10, 3)
 
@@ -59,8 +59,8 @@ def run_metric(spark, tmp_path, metric, schema, steps, dims=dws.Dims(), **option
     finally:
         q.stop()
     root = str(tmp_path / "metric")
-    versions = metric_versions(spark, root, metric.table)
-    return rows(latest_metric(spark, root, metric.table).drop("ts")), versions.count(), dropped
+    versions = metric_table(spark, root, metric.table).versions().count()
+    return rows(latest_metric(spark, root, metric.table).drop("ts")), versions, dropped
 
 
 def sorts(*moments):

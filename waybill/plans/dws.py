@@ -15,6 +15,7 @@ from waybill.operators.lookup import lookup_join, org_city, region_climb
 from waybill.schemas import (
     BOUND_EVENT,
     BOUND_TOPICS,
+    METRIC_TYPES,
     METRICS,
     ORDER_EVENT,
     ORDER_TOPICS,
@@ -69,7 +70,8 @@ class Metric:
 
     def finish(self, totals: DataFrame, dims: Dims = Dims()) -> DataFrame:
         stamped = self.named(totals, dims).withColumn("ts", processing_millis())
-        return stamped.select(METRICS[self.table])
+        typed = {c: F.col(c).cast(t) for c, t in METRIC_TYPES.items() if c in stamped.columns}
+        return stamped.withColumns(typed).select(METRICS[self.table])
 
 
 def once_per_order(rows: DataFrame, salts: int = 16) -> DataFrame:

@@ -130,6 +130,20 @@ METRICS = {
         "trans_finish_dur_time_base", "ts",
     ],
 }
+# Measures are numbers, everything else in a metric row is text.
+METRIC_TYPES = {
+    "sort_count_base": "bigint",
+    "order_amount_base": "decimal(38,2)",
+    "order_count_base": "bigint",
+    "bound_finish_order_count_base": "bigint",
+    "dispatch_order_count_base": "bigint",
+    "deliver_suc_count_base": "bigint",
+    "receive_order_count_base": "bigint",
+    "trans_finish_count_base": "bigint",
+    "trans_finish_distance_base": "decimal(38,2)",
+    "trans_finish_dur_time_base": "bigint",
+    "ts": "bigint",
+}
 # What identifies a metric row; later versions replace earlier ones.
 METRIC_KEYS = {
     "dws_bound_org_sort_day": ["cur_date", "org_id"],

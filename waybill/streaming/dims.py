@@ -9,92 +9,44 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill.config import JobConfig
-from waybill.operators.first import latest_per_key
-from waybill.operators.routing import DimConfig, config_rows, dim_rows, empty_dim
+from waybill.operators.routing import DimConfig, config_rows, dim_rows
 from waybill.streaming.sinks import trigger
+from waybill.streaming.tables import KeyedTable
 
 
 class DimTables:
-    """Tables below ``root``: a snapshot each, and the rows changed since by batch.
-
-    A micro-batch writes only its changed rows, into a folder named by its id: repeating it
-    after a failure gives the same files. ``read`` lays changes over the snapshot;
-    ``compact`` makes a new snapshot, which counts once its success marker exists.
-    """
+    """One keyed table per dimension below ``root``; every column is text."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _folder(self, config: DimConfig) -> str:
-        return f"{self.root}/{config.sink_table}"
-
-    def _ids(self, folder: str, name: str, marker: str = "") -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}=*{marker}")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        paths = [f.getPath() for f in found or []]
-        names = [(p.getParent() if marker else p).getName() for p in paths]
-        return sorted(int(n.split("=")[1]) for n in names)
-
-    def create(self, config: DimConfig) -> None:
-        """Make the table unless it exists; every column is text."""
-        if not self._ids(f"{self._folder(config)}/snapshot", "upto", "/_SUCCESS"):
-            empty = empty_dim(self.spark, config)
-            empty.write.mode("overwrite").parquet(f"{self._folder(config)}/snapshot/upto=-1")
-
-    def upsert(self, rows: DataFrame, config: DimConfig, batch_id: int) -> None:
-        """Insert or replace rows by primary key; ``ts`` orders the changes of one key."""
-        newest = latest_per_key(rows, [config.key], ["ts"])
-        newest.write.mode("overwrite").parquet(f"{self._folder(config)}/change/batch_id={batch_id}")
+    def table(self, config: DimConfig) -> KeyedTable:
+        ddl = ", ".join(f"`{c}` string" for c in config.columns)
+        return KeyedTable(self.spark, f"{self.root}/{config.sink_table}", ddl, [config.key])
 
     def read(self, config: DimConfig) -> DataFrame:
-        folder = self._folder(config)
-        upto = self._ids(f"{folder}/snapshot", "upto", "/_SUCCESS")
-        since = upto[-1] if upto else -1
-        columns = ", ".join(f"`{c}` string" for c in config.columns)
-        table = (
-            self.spark.read.schema(columns).parquet(f"{folder}/snapshot/upto={since}")
-            if upto
-            else empty_dim(self.spark, config)
-        )
-        newer = [i for i in self._ids(f"{folder}/change", "batch_id", "/_SUCCESS") if i > since]
-        if not newer:
-            return table
-        changed = (
-            self.spark.read.schema(f"{columns}, ts timestamp, batch_id bigint")
-            .option("basePath", f"{folder}/change")
-            .parquet(*[f"{folder}/change/batch_id={i}" for i in newer])
-        )
-        current = latest_per_key(changed, [config.key], ["batch_id", "ts"]).select(table.columns)
-        # Snapshot and changes have one row per key, so the snapshot is not regrouped.
-        kept = table.alias("t").join(
-            current.select(config.key).alias("n"),
-            F.col(f"t.{config.key}").eqNullSafe(F.col(f"n.{config.key}")),
-            "left_anti",
-        )
-        return kept.unionByName(current)
-
-    def compact(self, config: DimConfig) -> None:
-        """Fold the changes so far into a new snapshot."""
-        folder = self._folder(config)
-        done = self._ids(f"{folder}/change", "batch_id", "/_SUCCESS")
-        if done and done[-1] not in self._ids(f"{folder}/snapshot", "upto", "/_SUCCESS"):
-            self.read(config).write.mode("overwrite").parquet(f"{folder}/snapshot/upto={done[-1]}")
+        return self.table(config).read()
 
 
 def apply_dim_changes(
     tables: DimTables, changes: DataFrame, config: DataFrame, batch_id: int, compact_every: int = 50
 ) -> None:
-    """Route one batch of live changes into the dimension tables."""
+    """Route one batch of live changes into the dimension tables.
+
+    Tables differ in their columns, so each with changes is written by itself from the
+    batch, which is kept for that long; their number is that of the config rows.
+    """
     rows = config_rows(config)
     known = changes.filter(F.col("table").isin([c.source_table for c in rows])).persist()
     try:
         present = {r[0] for r in known.select("table").distinct().collect()}
         for dim in rows:
-            tables.create(dim)
+            table = tables.table(dim)
+            table.create()
             if dim.source_table in present:
-                tables.upsert(dim_rows(known, dim, [F.col("ts")]), dim, batch_id)
-                if batch_id % compact_every == compact_every - 1:
-                    tables.compact(dim)
+                table.upsert(dim_rows(known, dim, [F.col("ts")]), batch_id)
+            if batch_id % compact_every == compact_every - 1:
+                table.compact()
     finally:
         known.unpersist()
 
