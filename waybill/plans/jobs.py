@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from waybill import session
 from waybill.config import JobConfig
 from waybill.operators.events import parse_detail
-from waybill.plans import dim, dwd, dws, ods
+from waybill.plans import dwd, dws, ods
 from waybill.plans.dws import Metric
 from waybill.schemas import ODS_TOPIC
 from waybill.sources.changelog import read_changes
@@ -25,14 +25,12 @@ def run_ods(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     lines = read_changes(spark, config.need("change-log"), stream=True, **config.file_options())
     option = config.get("start-up-options")
     rows = ods.ods_rows(lines, (option,) if option else ("dwd", "realtime_dim"))
-    return write_topics(rows.drop("table"), config, "ods")
+    return write_topics(rows, config, "ods")
 
 
 def run_dim(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     values = read_topic(spark, config, ODS_TOPIC, "tms_dim_sink_app")
-    return start_dim_sink(
-        dim.dim_changes(values), lambda: read_config(spark, config), config, "dim_sink"
-    )
+    return start_dim_sink(values, lambda: read_config(spark, config), config, "dim_sink")
 
 
 def _dwd(name: str, group_id: str, messages: Callable) -> Callable:

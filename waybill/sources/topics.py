@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.config import JobConfig
-from waybill.schemas import TOPIC_WRITERS
+from waybill.schemas import ODS_TOPIC, TOPIC_WRITERS
 
 
 def topic_values(messages: DataFrame) -> DataFrame:
     """Text of each message; empty and missing payloads are skipped."""
-    return messages.select(F.col("value").cast("string").alias("value")).filter(
+    kept = [c for c in ("table",) if c in messages.columns]
+    return messages.select(F.col("value").cast("string").alias("value"), *kept).filter(
         F.col("value").isNotNull() & (F.col("value") != "")
     )
 
@@ -19,14 +20,16 @@ def topic_values(messages: DataFrame) -> DataFrame:
 def read_topic(spark: SparkSession, config: JobConfig, topic: str, group_id: str) -> DataFrame:
     """Stream the values of a topic.
 
-    With ``topic_root`` set, topics are folders of parquet files written by
-    ``waybill.streaming.sinks``; else they are Kafka topics.
+    With ``topic-root`` set, topics are folders of parquet files written by
+    ``waybill.streaming.sinks``; else they are Kafka topics. The folders of the operational
+    topic are split by source table: its ``table`` column lets readers skip files unread.
     """
     topic = config.get("topic", topic)
     if config.get("topic-root"):
-        files = spark.readStream.schema("value string, topic string").options(
-            **config.file_options()
-        )
+        columns = "value string, topic string"
+        if topic == ODS_TOPIC:
+            columns += ", table string"
+        files = spark.readStream.schema(columns).options(**config.file_options())
         folder = f"{config['topic-root']}/{TOPIC_WRITERS[topic]}"
         return topic_values(files.parquet(folder).filter(F.col("topic") == topic))
     return topic_values(

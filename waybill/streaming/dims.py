@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waybill.config import JobConfig
 from waybill.operators.routing import DimConfig, config_rows, dim_rows
+from waybill.plans.dim import dim_changes
 from waybill.streaming.sinks import trigger
 from waybill.streaming.tables import KeyedTable
 
@@ -52,14 +53,22 @@ def apply_dim_changes(
 
 
 def start_dim_sink(
-    changes: DataFrame, read_config: Callable[[], DataFrame], config: JobConfig, name: str
+    ods: DataFrame, read_config: Callable[[], DataFrame], config: JobConfig, name: str
 ) -> StreamingQuery:
     """Keep the tables current. The routing config is read anew for every micro-batch."""
-    tables = DimTables(changes.sparkSession, config.need("dim-root"))
+    tables = DimTables(ods.sparkSession, config.need("dim-root"))
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        routing = read_config()
+        if "table" in batch.columns:  # other tables' rows are not even parsed
+            wanted = [c.source_table for c in config_rows(routing)]
+            batch = batch.filter(F.col("table").isin(wanted))
+        apply_dim_changes(tables, dim_changes(batch), routing, batch_id)
+
     return (
-        changes.writeStream.queryName(name)
+        ods.writeStream.queryName(name)
         .trigger(**trigger(config))
         .option("checkpointLocation", f"{config.need('checkpoint-root')}/{name}")
-        .foreachBatch(lambda batch, i: apply_dim_changes(tables, batch, read_config(), i))
+        .foreachBatch(save)
         .start()
     )
