@@ -213,7 +213,7 @@ SELECT o_orderkey AS order_id, event, count(*) AS line_count,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS weight,
        min({second('ts + INTERVAL 8 HOURS')}) AS first_time,
        max({second('ts + INTERVAL 8 HOURS')}) AS last_time,
-       CAST(min(amount) AS DOUBLE) AS amount, min({masked('c_name')}) AS sender_name,
+       CAST(min(amount) AS DOUBLE) AS amount, min({masked('o_orderpriority')}) AS sender_name,
        min({second('o_orderdate')}) AS estimate_arrive_time
 FROM event_lines GROUP BY 1, 2""",
     "bound_event_days": f"""

@@ -79,7 +79,7 @@ def first_line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.order_events(
-        ev.order_changes(S.order_log(S.senders(spark, sf_dir))),
+        ev.order_changes(S.order_log(table(spark, sf_dir, "orders"))),
         ev.cargo_changes(S.cargo_log(table(spark, sf_dir, "lineitem"))),
     )
 
@@ -180,7 +180,16 @@ def cargo_type_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_detail(spark: SparkSession, sf_dir: str, event: str) -> DataFrame:
-    return _order_events(spark, sf_dir).filter(F.col("event") == event)
+    """One event's detail rows with the place of their sender."""
+    detail = _order_events(spark, sf_dir).filter(F.col("event") == event)
+    place = ["sender_district_id", "sender_city_id", "sender_province_id"]
+    return lookup_join(
+        detail,
+        S.places(spark, sf_dir),
+        {"user_id": "c_custkey"},
+        {c: c for c in place},
+        unique=True,
+    )
 
 
 @query
@@ -387,21 +396,21 @@ def ods_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dwd_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transfer events to their three topics and one of them back."""
+    """Transfer events to their three topics, and back with the fields of one."""
     root = session.work_dir(spark, "dwd")
     save_topics(ev.bound_messages(ev.bound_events(S.bound_log(table(spark, sf_dir, "lineitem")))), root)
-    counts = spark.read.parquet(root).groupBy("topic").agg(F.count("*").alias("row_count"))
-    detail = ev.parse_detail(
-        load_topic(spark, root, "tms_dwd_bound_sort"), "org_id string, sort_time string, ts timestamp"
-    )
-    sums = detail.agg(
-        F.sum(F.col("org_id").cast("bigint")).alias("s"), F.max("sort_time").alias("t")
-    ).select(
-        F.lit("tms_dwd_bound_sort").alias("topic"),
-        F.col("s").alias("org_sum"),
-        F.col("t").alias("last_time"),
-    )
-    return counts.join(sums, "topic", "left")
+    fields = F.from_json("value", "org_id bigint, sort_time string")
+    is_sort = F.col("topic") == "tms_dwd_bound_sort"
+    return (
+        spark.read.parquet(root)
+        .select("topic", F.when(is_sort, fields).alias("sort"))
+        .groupBy("topic")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.sum("sort.org_id").alias("org_sum"),
+            F.max("sort.sort_time").alias("last_time"),
+        )
+    )
 
 
 @query

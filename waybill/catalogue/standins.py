@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waybill.operators.history import last_before
 from waybill.plans.dws import Dims, once_per_order
-from waybill.schemas import MONEY
+from waybill.schemas import MONEY, ORDER_INFO
 
 # Change logs start here; order k's life starts k times PACE seconds later, modulo 30 days.
 EPOCH = "2024-01-01T00:00:00Z"
@@ -107,12 +108,10 @@ def cargo_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def senders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    """Orders (by default the whole table) with the place of their customer."""
-    o = table(spark, sf_dir, "orders") if orders is None else orders
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    place = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their city (nation) and province (region)."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         "c_custkey",
         F.concat(F.lit("c"), text("n_nationkey")).alias("sender_district_id"),
         F.concat(F.lit("c"), text("n_nationkey")).alias("sender_city_id"),
@@ -120,13 +119,18 @@ def senders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -
         F.col("c_name").alias("sender_name"),
         F.col("c_mktsegment").alias("payment_type"),
     )
-    return o.join(place, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+
+
+def senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the place of their customer."""
+    o = table(spark, sf_dir, "orders")
+    joined = o.join(places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return joined.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("collect_type"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").cast(MONEY).alias("amount"),
-        F.col("o_orderdate").alias("order_date"),
         "sender_district_id",
         "sender_city_id",
         "sender_province_id",
@@ -168,48 +172,40 @@ def images(fields: dict[str, Column]) -> Column:
 
 
 def order_log(orders: DataFrame) -> DataFrame:
-    """Typed ``order_info`` envelopes of ``senders``: insert and status updates per order."""
+    """Typed ``order_info`` envelopes: each order's insert and its status updates."""
     path = F.lit(None).cast("string")
     for state, steps in HISTORY.items():
-        path = F.when(F.col("o_status") == state, F.lit(steps)).otherwise(path)
-    o = orders.withColumnRenamed("status", "o_status")
-    steps = o.withColumn("path", F.split(path, ",")).select(
+        path = F.when(F.col("o_orderstatus") == state, F.lit(steps)).otherwise(path)
+    steps = orders.withColumn("path", F.split(path, ",")).select(
         "*", F.posexplode("path").alias("step", "status")
     )
-    at = born("order_id") + F.make_dt_interval(hours=F.col("step") * STEP_HOURS)
-    after = {
-        "id": F.col("order_id"),
-        "order_no": F.concat(F.lit("no"), text("order_id")),
+    at = born("o_orderkey") + F.make_dt_interval(hours=F.col("step") * STEP_HOURS)
+    known = {
+        "id": F.col("o_orderkey"),
+        "order_no": F.concat(F.lit("no"), text("o_orderkey")),
         "status": F.col("status"),
-        "collect_type": F.col("collect_type"),
-        "user_id": F.col("user_id"),
-        "receiver_complex_id": F.lit(None).cast("string"),
-        "receiver_province_id": F.lit(None).cast("string"),
-        "receiver_city_id": F.lit(None).cast("string"),
-        "receiver_district_id": F.lit(None).cast("string"),
-        "receiver_name": F.col("payment_type"),
-        "sender_complex_id": F.lit(None).cast("string"),
-        "sender_province_id": F.col("sender_province_id"),
-        "sender_city_id": F.col("sender_city_id"),
-        "sender_district_id": F.col("sender_district_id"),
-        "sender_name": F.col("sender_name"),
-        "payment_type": F.col("payment_type"),
+        "collect_type": F.col("o_orderpriority"),
+        "user_id": F.col("o_custkey"),
+        "receiver_name": F.col("o_orderstatus"),
+        "sender_name": F.col("o_orderpriority"),
         "cargo_num": F.lit(1),
-        "amount": F.col("amount"),
+        "amount": F.col("o_totalprice").cast(MONEY),
         # A local wall clock kept as epoch milliseconds.
-        "estimate_arrive_time": F.unix_millis(F.col("order_date").cast("timestamp")),
-        "distance": F.lit(None).cast(MONEY),
-        "create_time": iso(born("order_id")),
+        "estimate_arrive_time": F.unix_millis(F.col("o_orderdate").cast("timestamp")),
+        "create_time": iso(born("o_orderkey")),
         "update_time": iso(at),
         "is_deleted": F.lit("0"),
     }
+    after = {
+        f.name: known.get(f.name, F.lit(None).cast(f.dataType))
+        for f in StructType.fromDDL(ORDER_INFO).fields
+    }
+    before = F.struct(F.get("path", F.col("step") - 1).alias("status"))
     return steps.select(
         F.when(F.col("step") == 0, "c").otherwise("u").alias("op"),
         at.alias("ts"),
         F.lit("order_info").alias("table"),
-        F.when(F.col("step") > 0, F.struct(F.get("path", F.col("step") - 1).alias("status"))).alias(
-            "before"
-        ),
+        F.when(F.col("step") > 0, before).alias("before"),
         images(after).alias("after"),
     )
 
