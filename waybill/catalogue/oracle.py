@@ -378,6 +378,17 @@ BORN = "TIMESTAMP '2024-01-01' + to_seconds((l_orderkey * 1733) % 2592000)"
 ORACLE |= {
     "stream_day_count": ORACLE["sort_day"],
     "stream_early_results": ORACLE["sort_day"],
+    "stream_late_drop": f"""
+WITH {ORG},{REGION},{ORG_CITY},
+seen AS (SELECT max(ts) AS newest FROM events WHERE event_id % 2 = 1),
+kept AS (
+  SELECT user_id AS org_id, ts FROM events, seen
+  WHERE event_id % 2 = 1
+     OR date_trunc('day', ts + INTERVAL 8 HOURS) + INTERVAL 16 HOURS > newest - INTERVAL 5 SECONDS),
+totals AS (
+  SELECT {day('ts')} AS cur_date, org_id, count(*) AS sort_count_base FROM kept GROUP BY 1, 2)
+SELECT t.*, org_name, city_id, city_name, province_id, province_name
+FROM totals t LEFT JOIN org_place USING (org_id)""",
     "stream_dedup_day": f"""
 SELECT {day(BORN)} AS cur_date, count(DISTINCT l_orderkey) AS dispatch_order_count_base
 FROM lineitem GROUP BY 1""",

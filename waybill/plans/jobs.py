@@ -14,7 +14,7 @@ from waybill.operators.events import parse_detail
 from waybill.plans import dwd, dws, ods
 from waybill.plans.dws import Metric
 from waybill.schemas import ODS_TOPIC
-from waybill.sources.changelog import read_changes
+from waybill.sources.changelog import read_change_source
 from waybill.sources.dims import read_config, read_dims
 from waybill.sources.topics import read_topic
 from waybill.streaming.dims import start_dim_sink
@@ -22,9 +22,17 @@ from waybill.streaming.sinks import write_metric, write_topics
 
 
 def run_ods(spark: SparkSession, config: JobConfig) -> StreamingQuery:
-    lines = read_changes(spark, config.need("change-log"), stream=True, **config.file_options())
-    option = config.get("start-up-options")
-    rows = ods.ods_rows(lines, (option,) if option else ("dwd", "realtime_dim"))
+    """Facts and dimensions, unless ``start-up-options`` names one of them."""
+    wanted = config.get("start-up-options")
+    options = (wanted,) if wanted else ("dwd", "realtime_dim")
+    if config.get("change-log"):
+        rows = ods.ods_rows(read_change_source(spark, config), options)
+    else:  # a topic is read from different positions
+        rows = None
+        for option in options:
+            lines = read_change_source(spark, config, ods.source_tables(option)[1])
+            part = ods.ods_rows(lines, (option,))
+            rows = part if rows is None else rows.unionByName(part)
     return write_topics(rows, config, "ods")
 
 
