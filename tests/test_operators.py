@@ -18,7 +18,7 @@ def test_first_per_key_is_independent_of_order(spark):
         df = spark.createDataFrame(data, "k string, ts int, id string").repartition(3)
         assert rows(first_per_key(df, ["k"], ["ts", "id"])) == [("a", 1, "y"), (None, 4, "m")]
         assert rows(latest_per_key(df, ["k"], ["ts", "id"])) == [("a", 2, "x"), (None, 5, "n")]
-        flagged = rows(with_first_flag(df, ["k"], ["ts", "id"], "n"))
+        flagged = rows(with_first_flag(df, "k", ["ts", "id"], "n"))
         assert sorted(r[3] for r in flagged) == [0, 0, 0, 1, 1]
         assert ("a", 1, "y", 1) in flagged and (None, 4, "m", 1) in flagged
 

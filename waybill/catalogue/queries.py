@@ -71,7 +71,7 @@ def first_line_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def first_line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line kept, the first of its order counting 1 and the others 0."""
-    flagged = with_first_flag(S.cargo_lines(table(spark, sf_dir, "lineitem")), ["order_id"], ["ts", "id"], "counted")
+    flagged = with_first_flag(S.cargo_lines(table(spark, sf_dir, "lineitem")), "order_id", ["ts", "id"], "counted")
     return flagged.select(
         "order_id", F.col("id.l_linenumber").alias("line"), "cargo_type", "counted"
     )
@@ -163,7 +163,7 @@ def _metric(metric: dws.Metric, detail: DataFrame, dims: dws.Dims, **options) ->
 def org_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(
         dws.TRADE_ORG_ORDER_DAY,
-        S.first_order_lines(spark, sf_dir),
+        S.first_order_lines(spark, sf_dir, S.senders(spark, sf_dir)),
         S.dims(spark, sf_dir),
         salts=0,
     )
@@ -171,20 +171,26 @@ def org_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cargo_type_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    amounts = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").cast(S.MONEY).alias("amount")
+    )
     return _metric(
         dws.TRADE_CARGO_TYPE_ORDER_DAY,
-        S.first_order_lines(spark, sf_dir),
+        S.first_order_lines(spark, sf_dir, amounts),
         S.dims(spark, sf_dir),
         salts=0,
     )
 
 
 def _event_detail(spark: SparkSession, sf_dir: str, event: str) -> DataFrame:
+    return _order_events(spark, sf_dir).filter(F.col("event") == event)
+
+
+def _placed_detail(spark: SparkSession, sf_dir: str, event: str) -> DataFrame:
     """One event's detail rows with the place of their sender."""
-    detail = _order_events(spark, sf_dir).filter(F.col("event") == event)
     place = ["sender_district_id", "sender_city_id", "sender_province_id"]
     return lookup_join(
-        detail,
+        _event_detail(spark, sf_dir, event),
         S.places(spark, sf_dir),
         {"user_id": "c_custkey"},
         {c: c for c in place},
@@ -206,20 +212,20 @@ def bound_finish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def org_deliver_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detail = _event_detail(spark, sf_dir, "deliver_suc")
+    detail = _placed_detail(spark, sf_dir, "deliver_suc")
     return _metric(dws.TRANS_ORG_DELIVER_SUC_DAY, detail, S.dims(spark, sf_dir))
 
 
 @query
 def org_receive_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detail = _event_detail(spark, sf_dir, "receive")
+    detail = _placed_detail(spark, sf_dir, "receive")
     return _metric(dws.TRANS_ORG_RECEIVE_DAY, detail, S.dims(spark, sf_dir))
 
 
 @query
 def org_receive_line_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Received cargo lines rather than orders."""
-    detail = _event_detail(spark, sf_dir, "receive")
+    detail = _placed_detail(spark, sf_dir, "receive")
     return _metric(dws.TRANS_ORG_RECEIVE_DAY, detail, S.dims(spark, sf_dir), dedup=False)
 
 

@@ -97,6 +97,10 @@ LINE = [
 ]
 
 
+# Enough of an id where no line has to come first.
+PASSAGE = ["l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def cargo_lines(lines: DataFrame) -> DataFrame:
     """Order lines with their creation time: the shipping date at a time of day."""
     return lines.select(
@@ -144,14 +148,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cargo_lines(table(spark, sf_dir, "lineitem")).join(senders(spark, sf_dir), "order_id")
 
 
-def first_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detail rows of first lines only.
+def first_order_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """Detail rows of first lines only, with the columns of ``orders``.
 
     A placed order's time is its line's, so the first line is known before the join: one row
     per order is shuffled instead of every line, and a hot order is thinned out first.
     """
     first = once_per_order(cargo_lines(table(spark, sf_dir, "lineitem")))
-    return first.join(senders(spark, sf_dir), "order_id")
+    return first.join(orders, "order_id")
 
 
 # --- change logs --------------------------------------------------------------------------
@@ -214,7 +218,7 @@ def cargo_log(lines: DataFrame) -> DataFrame:
     """Typed ``order_cargo`` inserts, from 4 s before their order to 8 s after it."""
     at = born("l_orderkey") + F.make_dt_interval(secs=F.col("l_linenumber") * 2 - 6)
     after = {
-        "id": F.struct(*LINE),
+        "id": F.struct(*PASSAGE),
         "order_id": F.col("l_orderkey"),
         "cargo_type": F.col("l_partkey"),
         "volumn_length": F.col("l_linenumber"),
@@ -252,7 +256,7 @@ def bound_log(lines: DataFrame) -> DataFrame:
     def image(sort_time: Column, outbound_time: Column) -> Column:
         return images(
             {
-                "id": F.struct(*LINE),
+                "id": F.struct(*PASSAGE),
                 "order_id": F.col("l_orderkey"),
                 "org_id": F.col("l_suppkey"),
                 "inbound_time": inbound.cast("string"),
@@ -267,7 +271,8 @@ def bound_log(lines: DataFrame) -> DataFrame:
     nothing = F.lit(None).cast("bigint")
     return passed.select(
         F.when(step == 1, "c").otherwise("u").alias("op"),
-        F.when(step > 1, image(F.when(step == 3, sort), nothing)).alias("before"),
+        # Empty rather than null before an insert: unused fields of it are then not read.
+        image(F.when(step == 3, sort), nothing).alias("before"),
         image(F.when(step > 1, corrected), F.when(leaves, outbound)).alias("after"),
     )
 
@@ -277,7 +282,7 @@ def transport_log(lines: DataFrame) -> DataFrame:
     end = F.unix_millis(instant("l_shipdate", F.col("l_orderkey") % 1440))
     start = end - F.col("l_quantity").cast("bigint") * 3_600_000
     after = {
-        "id": F.struct(*LINE),
+        "id": F.struct(*PASSAGE),
         "shift_id": F.lit(None).cast("string"),
         "line_id": F.lit(None).cast("string"),
         "start_org_id": F.col("l_suppkey"),

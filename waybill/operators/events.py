@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waybill.functions import timez
 from waybill.functions.masking import mask_name, md5_hex
 from waybill.operators.history import last_before
+from waybill.operators.skew import split_join
 from waybill.schemas import BOUND_TOPICS, MONEY, ORDER_EVENT, ORDER_TOPICS, columns
 
 # Status change -> event. Any other change to CANCELLED is a cancel,
@@ -126,8 +127,7 @@ def order_events(
     forget an order's lines, so later changes of it give nothing.
 
     ``bucket`` splits the history of an order for the look-back to its last closing event;
-    by default by day. The join itself is on the order alone; adaptive execution splits
-    the lines of a hot order.
+    by default by day. In the join, adaptive execution splits the lines of a hot order.
     """
     bucket = F.date_trunc("day", F.col("at")) if bucket is None else bucket
     history = last_before(
@@ -139,19 +139,13 @@ def order_events(
         counts=F.col("event").isin(*CLOSING),
         bucket=bucket,
     )
-    c_at, o_at = F.col("c.at"), F.col("o.at")
-    known = (c_at <= o_at) & (
-        F.col("o.forgotten_at").isNull() | (c_at > F.col("o.forgotten_at"))
-    )
-    late = (F.col("o.event") == "order") & (c_at > o_at)
+    c_at, o_at, gone = F.col("r.at"), F.col("l.at"), F.col("l.forgotten_at")
+    known = (c_at <= o_at) & (gone.isNull() | (c_at > gone))
+    late = (F.col("l.event") == "order") & (c_at > o_at)
     if order_ttl is not None:
         late = late & (c_at <= o_at + F.expr(f"interval {order_ttl}"))
-    return (
-        history.alias("o")
-        .join(cargo.alias("c"), F.col("o.order_id") == F.col("c.order_id"))
-        .filter(known | late)
-        .select(*merged_row("c", "o"))
-    )
+    lines = cargo.filter(F.col("order_id").isNotNull())
+    return split_join(history, lines, "order_id", known | late).select(*merged_row("r", "l"))
 
 
 def bound_events(changes: DataFrame) -> DataFrame:
@@ -160,29 +154,32 @@ def bound_events(changes: DataFrame) -> DataFrame:
     An insert is an inbound event; one update may give both a sort and an outbound event.
     """
     before, after = F.col("before"), F.col("after")
+    # Flat columns first: the scan then reads the fields used and not whole images.
+    fields = [f for _, time_field, emp_field in BOUND_TOPICS.values() for f in (time_field, emp_field)]
+    flat = changes.select(
+        "op",
+        *[after[c].alias(c) for c in ("id", "order_id", "org_id", *fields)],
+        before.isNotNull().alias("__updated"),
+        *[before[c].alias(f"__old_{c}") for c in ("sort_time", "outbound_time")],
+    )
 
     def event(name: str) -> Column:
         _, time_field, emp_field = BOUND_TOPICS[name]
         return F.struct(
             F.lit(name).alias("event"),
-            after[time_field].cast("string").alias("millis"),
-            after[emp_field].alias("emp_id"),
+            F.col(time_field).cast("string").alias("millis"),
+            F.col(emp_field).alias("emp_id"),
         )
 
-    sorted_ = filled_in("op", before["sort_time"], after["sort_time"])
-    left = filled_in("op", before["outbound_time"], after["outbound_time"])
+    sorted_ = filled_in("op", F.col("__old_sort_time"), F.col("sort_time"))
+    left = filled_in("op", F.col("__old_outbound_time"), F.col("outbound_time"))
     found = F.when(F.col("op") == "c", F.array(event("inbound"))).when(
-        before.isNotNull(),
+        F.col("__updated"),
         F.when(sorted_ & left, F.array(event("sort"), event("outbound")))
         .when(sorted_, F.array(event("sort")))
         .when(left, F.array(event("outbound"))),
     )
-    return changes.select(
-        after["id"].alias("id"),
-        after["order_id"].alias("order_id"),
-        after["org_id"].alias("org_id"),
-        F.inline(found),
-    ).select(
+    return flat.select("id", "order_id", "org_id", F.inline(found)).select(
         "event",
         "id",
         "order_id",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.operators.skew import split_join
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in ``order``.
@@ -23,16 +25,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
-def with_first_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
-    """All rows kept; 1 on the first row of each key, 0 on the others."""
-    total = F.struct(*order)
-    first = df.groupBy(*keys).agg(F.min(total).alias("__first"))
-    on = F.lit(True)
-    for key in keys:
-        on = on & F.col(f"d.{key}").eqNullSafe(F.col(f"f.{key}"))
-    joined = df.alias("d").join(first.alias("f"), on, "left")
-    same = F.struct(*[F.col(f"d.{c}") for c in order]).eqNullSafe(F.col("f.__first"))
-    return joined.select("d.*", F.when(same, 1).otherwise(0).cast("bigint").alias(out))
+def with_first_flag(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
+    """All rows kept; 1 on the first row of each key, 0 on the others.
+
+    ``order`` must order the rows of a key totally.
+    """
+    firsts = df.groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
+    same = F.struct(*[F.col(f"l.{c}") for c in order]).eqNullSafe(F.col("r.__first"))
+    return split_join(df, firsts, key).select(
+        *[F.col(f"l.{c}") for c in df.columns], F.when(same, 1).otherwise(0).cast("bigint").alias(out)
+    )
 
 
 def first_per_key_stream(
