@@ -84,36 +84,49 @@ def _order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def per_order(events: DataFrame) -> DataFrame:
+    """Events summed per order.
+
+    What an order's lines share is part of the key, so all buffers are numbers.
+    """
+    totals = events.groupBy("order_id", "event", "sender_name", "estimate_arrive_time").agg(
+        F.count("*").alias("line_count"),
+        F.sum("weight").cast("double").alias("weight"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+        F.min("amount").cast("double").alias("amount"),
+    )
+    return totals.withColumns(
+        {"first_time": timez.local_text("first"), "last_time": timez.local_text("last")}
+    ).drop("first", "last")
+
+
 @query
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events per cargo line, summed per order."""
-    return (
-        _order_events(spark, sf_dir)
-        .groupBy("order_id", "event")
-        .agg(
-            F.count("*").alias("line_count"),
-            F.sum("weight").cast("double").alias("weight"),
-            F.min("event_time").alias("first_time"),
-            F.max("event_time").alias("last_time"),
-            F.min("amount").cast("double").alias("amount"),
-            F.min("sender_name").alias("sender_name"),
-            F.min("estimate_arrive_time").alias("estimate_arrive_time"),
-        )
-    )
+    return per_order(_order_events(spark, sf_dir))
 
 
 @query
 def bound_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inbound, sort and outbound events per organisation and day."""
-    return (
+    totals = (
         ev.bound_events(S.bound_log(table(spark, sf_dir, "lineitem")))
-        .groupBy("event", "org_id", F.substring("event_time", 1, 10).alias("cur_date"))
+        .groupBy("event", "org_id", timez.day_window("ts").alias("day"))
         .agg(
             F.count("*").alias("event_count"),
-            F.min("event_time").alias("first_time"),
+            F.min("ts").alias("first"),
             F.sum("emp_id").alias("emp_sum"),
         )
     )
+    return totals.select(
+        "event",
+        "org_id",
+        timez.local_date("day.start").alias("cur_date"),
+        "event_count",
+        timez.local_text("first").alias("first_time"),
+        "emp_sum",
+    )
 
 
 @query
