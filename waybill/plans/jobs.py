@@ -94,7 +94,9 @@ def main(args: list[str]) -> None:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if base:
             config["checkpoint-root"] = f"{base}/waybill"
-    JOBS[args[0]](spark, config).awaitTermination()
+    with session.sized_state(spark):
+        query = JOBS[args[0]](spark, config)
+    query.awaitTermination()
 
 
 if __name__ == "__main__":
