@@ -58,6 +58,10 @@ class Metric:
         """Whether rows are reduced to one per order first."""
         return self.ddl == ORDER_EVENT
 
+    @property
+    def uses_dims(self) -> bool:
+        return self.named is not _unnamed
+
     def batch(self, detail: DataFrame, dims: Dims = Dims(), **options) -> DataFrame:
         """The metric of all detail rows, columns in insert order."""
         return self.finish(self.totals(detail, dims, **options), dims)

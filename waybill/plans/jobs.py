@@ -12,7 +12,7 @@ from waybill import session
 from waybill.config import JobConfig
 from waybill.operators.events import parse_detail
 from waybill.plans import dwd, dws, ods
-from waybill.plans.dws import Metric
+from waybill.plans.dws import Dims, Metric
 from waybill.schemas import ODS_TOPIC
 from waybill.sources.changelog import read_change_source
 from waybill.sources.dims import read_config, read_dims
@@ -51,13 +51,14 @@ def _dwd(name: str, group_id: str, messages: Callable) -> Callable:
 
 def _dws(metric: Metric) -> Callable:
     def run(spark: SparkSession, config: JobConfig) -> StreamingQuery:
+        def dims() -> Dims:
+            return read_dims(spark, config) if metric.uses_dims else Dims()
+
         values = read_topic(spark, config, metric.topic, metric.table)
         detail = parse_detail(values, wire_ddl(metric))
         options = {"salts": int(config["count-salts"])} if metric.counts_orders else {}
-        totals = metric.stream(detail, read_dims(spark, config), **options)
-        return write_metric(
-            totals, lambda batch: metric.finish(batch, read_dims(spark, config)), config, metric.table
-        )
+        totals = metric.stream(detail, dims(), **options)
+        return write_metric(totals, lambda b: metric.finish(b, dims()), config, metric.table)
 
     return run
 
