@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.common import chunks, flat_text, lists, ranges
+from waybill.llm.tables import Table
 
 #: Words of more bytes are merged one by one with a heap instead of as an array.
 ARRAY_BYTES = 64
@@ -42,8 +43,7 @@ class RankMap:
     """Ranks of mergeable pairs, at most 65,536 tokens.
 
     Tokens are numbered by rank, so a merge's rank is the number of the token it makes. A
-    pair is ``left * 65536 + right``. Pairs fall into buckets, and a bucket's displacement
-    sends its pairs to slots of their own, so a lookup reads two arrays.
+    pair is ``left * 65536 + right``.
     """
 
     NONE = 1 << 16
@@ -63,39 +63,11 @@ class RankMap:
             for i in range(1, len(t))
             if t[:i] in number and t[i:] in number
         }
-        self.mask = (1 << max(4, int(len(pairs) * 1.6).bit_length())) - 1
-        self.buckets = (self.mask + 1) // 4
-        self._displace(pairs)
-
-    def _displace(self, pairs: dict[int, int]) -> None:
-        groups: list[list[int]] = [[] for _ in range(self.buckets)]
-        for pair in pairs:
-            groups[self._bucket(pair)].append(pair)
-        entries, shifts = [-1] * (self.mask + 1), [0] * self.buckets
-        for b in sorted(range(self.buckets), key=lambda b: -len(groups[b])):
-            for shift in range(self.mask + 1 if groups[b] else 0):
-                slots = [self._slot(p, shift) for p in groups[b]]
-                if len(set(slots)) == len(slots) and all(entries[s] < 0 for s in slots):
-                    for p, s in zip(groups[b], slots, strict=True):
-                        entries[s] = (p << 16) + pairs[p]
-                    shifts[b] = shift
-                    break
-            else:
-                if groups[b]:
-                    raise ValueError("no displacement")
-        self.shifts, self.entries = np.array(shifts), np.array(entries)
-
-    def _bucket(self, pair):
-        return (pair * 40503 + (pair >> 16)) % self.buckets
-
-    def _slot(self, pair, shift):
-        return ((pair * 7919 + (pair >> 16)) % 1000003 + shift) & self.mask
+        self.table = Table(pairs)
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The number of the token that each pair makes, or ``NONE``."""
-        pair = (left << 16) + right
-        entry = self.entries[self._slot(pair, self.shifts[self._bucket(pair)])]
-        return np.where(entry >> 16 == pair, entry & 0xFFFF, self.NONE)
+        return self.table.get((left << 16) + right, self.NONE)
 
     def fold(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token numbers of words given as bytes: flat numbers, and how many each word has."""
@@ -154,11 +126,10 @@ class RankMap:
             j = after[i]
             pair[i] = self.NONE
             if j < len(part):
-                key = (part[i] << 16) + part[j]
-                entry = int(self.entries[self._slot(key, int(self.shifts[self._bucket(key)]))])
-                if entry >> 16 == key:
-                    pair[i] = entry & 0xFFFF
-                    heapq.heappush(heap, (pair[i], i))
+                rank = self.table.one((part[i] << 16) + part[j])
+                if rank is not None:
+                    pair[i] = rank
+                    heapq.heappush(heap, (rank, i))
 
         while heap:
             rank, i = heapq.heappop(heap)
@@ -185,7 +156,7 @@ def _classes() -> np.ndarray:
     return kinds
 
 
-def _byte_classes(data: np.ndarray) -> np.ndarray:
+def byte_classes(data: np.ndarray) -> np.ndarray:
     """The class of each byte's character."""
     kinds = _classes()[:256][data]
     lead = np.flatnonzero(data >= 0xC0)
@@ -212,7 +183,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     match of its own if not. An apostrophe that starts a match takes the ending after it.
     """
     n = len(data)
-    kinds = _byte_classes(data)
+    kinds = byte_classes(data)
     start = np.zeros(n + 1, dtype=bool)
     start[1:n] = kinds[1:] != kinds[:-1]
     text = np.zeros(n + 1, dtype=bool)

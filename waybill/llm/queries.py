@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import public_tokenizers
+import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, mixing
+from waybill import session
+from waybill.llm import bpe, language, mixing, prefix, secrets
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
+TOKEN_LIMIT = 4096
 
 
 def query(f):
@@ -81,3 +84,51 @@ SELECT r.doc_id, r.size, r.source_size, r.target,
   (r.size * (floor(r.e) + CASE WHEN c.before + c.words / 2 <= c.rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ranked r LEFT JOIN counted c ON r.source IS NOT DISTINCT FROM c.source AND r.k = c.k
 """
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, and how much of it fits into the budget."""
+    pieces = prefix.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = prefix.count_tokens(documents(spark, sf_dir, "doc_id", "text"), pieces, TOKEN_LIMIT)
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars"
+    )
+
+
+def letter_pieces() -> list[str]:
+    """The fixed vocabulary of the language model."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    return [model.id_to_piece(i) for i in range(model.get_piece_size())]
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from two thirds of the documents, predict all."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))), letter_pieces())
+    return language.predict(docs.drop("lang"), model).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan all blobs into a new ledger and give every document its findings."""
+    ledger = session.work_dir(spark, "secret-ledger")
+    found = secrets.scan(documents(spark, sf_dir, "doc_id", "text"), ledger)
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(kind) for kind in kinds),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
