@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import session
-from waybill.llm import bpe, language, mixing, prefix, secrets
+from waybill.llm import bpe, language, mixing, prefix, quality, secrets
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
@@ -132,3 +132,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
     )
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; the target are the documents labelled good."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    trusted = quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.rules(docs, quality.weights(docs, trusted)).drop("text")
