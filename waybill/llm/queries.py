@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import session
-from waybill.llm import bpe, language, mixing, prefix, quality, secrets
+from waybill.llm import bpe, language, licenses, mixing, neighbours, prefix, quality, secrets
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
@@ -140,3 +140,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     trusted = quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.rules(docs, quality.weights(docs, trusted)).drop("text")
+
+
+@query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of largest inner product with each twentieth vector."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and license texts in every document."""
+    return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
