@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import session
-from waybill.llm import bpe, language, licenses, mixing, neighbours, prefix, quality, secrets
+from waybill.llm import bpe, jaccard, language, licenses, mixing, neighbours, prefix, quality, secrets
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
@@ -153,3 +153,10 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases and license texts in every document."""
     return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document among those that share nine tenths of their shingles."""
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    return jaccard.groups(docs).select("doc_id", "n_shingles", "component_id")
