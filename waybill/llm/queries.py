@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import session
-from waybill.llm import bpe, jaccard, language, licenses, mixing, neighbours, prefix, quality, secrets
+from waybill.llm import bpe, jaccard, language, licenses, mixing, neighbours, prefix, quality, repeats, secrets
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
@@ -160,3 +160,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document among those that share nine tenths of their shingles."""
     docs = documents(spark, sf_dir, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     return jaccard.groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of earlier ones."""
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    return repeats.remove(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
