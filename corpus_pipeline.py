@@ -1,13 +1,76 @@
-"""The corpus pipeline: stages that each keep, change or drop documents."""
+"""The corpus pipeline: language, near copies, secrets, mixing, tokens.
+
+Each stage takes what the one before kept, written as Parquet and read again. All but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waybill import session
+from waybill.llm import bpe, jaccard, language, mixing, secrets
+from waybill.llm.common import written
+from waybill.llm.queries import letter_pieces
+
+#: A text whose language holds less than this share of the likelihood is rejected.
+LANGUAGE_SCORE = 0.5
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))), letter_pieces())
+    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)
+    return language.predict(docs, model).filter(sure).select(docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the Jaccard join, the one with the smallest id."""
+    numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    kept = jaccard.groups(numbered).filter("first").select("row")
+    return numbered.join(kept, "row", "left_semi").select(docs.columns)
+
+
+def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the characters of every finding replaced."""
+    found = secrets.scan(docs, session.work_dir(spark, "secret-ledger"))
+    clean = F.when(F.size("spans") > 0, secrets.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    return found.withColumn("text", clean).select(docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    measured = mixing.measure(docs)
+    plan = mixing.plan(written(measured.select("source", "size", "mix_u"), "mix-sizes"))
+    taken = mixing.take(measured, plan).filter("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, of which the text can be decoded again."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks)
+    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
 
-STAGES = []
+STAGES = [
+    ("language", known_language),
+    ("near copies", one_of_near_copies),
+    ("secrets", masked_secrets),
+    ("mixing", mixed_sources),
+    ("tokens", tokens),
+]
+#: No SQL for sums over all segmentations or merges by rank; tests hold it against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of the corpus."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = written(docs, "stage")
     return docs
