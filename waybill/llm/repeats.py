@@ -17,8 +17,9 @@ Words are runs of characters other than the six ASCII white ones, unchanged. Nul
 words; a document shorter than a window loses nothing. Documents of equal ids, repeated rows
 among them, are not earlier than each other; a null id is later than all others.
 
-A passage that very many documents share is combined in each task before it is shuffled: a
-document goes on only for windows of which it is the earliest in its batch.
+Symbols are dealt to buckets, whose number follows the corpus, and the windows that a batch has
+for a bucket travel as one packed row. A passage that very many documents share is combined
+before that: a document goes on only for windows of which it is the earliest in its batch.
 """
 
 from __future__ import annotations
@@ -134,7 +135,8 @@ def window_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 PACKED = "row long, doc_id long, n_words long, packed binary"
-MEETING = "key long, row long, id long, start int, windows int, digests binary"
+#: Words of the corpus for each bucket that windows are dealt to by symbol.
+BUCKET_WORDS = 1 << 18
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,81 +187,104 @@ def _stretches(*same: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nda
     return begin, np.diff(np.append(begin, len(start)))
 
 
-def _met(key, row, id_, start, windows, digests) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(key.view(np.int64)),
-            pa.array(row),
-            pa.array(id_),
-            pa.array(start.astype(np.int32)),
-            pa.array(windows.astype(np.int32)),
-            digests if digests is not None else pa.nulls(len(key), pa.binary()),
-        ],
-        names=["key", "row", "id", "start", "windows", "digests"],
+def _parcel(key, row, id_, start, digest) -> bytes:
+    """Windows of one bucket as bytes: stretches of one key, and all digests behind them."""
+    begin, size = _stretches(key, row, start=start)
+    head = np.concatenate(
+        [row[begin], id_[begin], start[begin], size]
+    ).astype(np.int64)
+    octets = np.ascontiguousarray(digest[:, None].view(np.uint8)[:, :DIGEST]).tobytes()
+    front = zstandard.ZstdCompressor(level=1).compress(head.tobytes())
+    return b"".join(
+        [np.array([len(begin), len(front)], dtype=np.int64).tobytes(), front, key[begin].tobytes(), octets]
     )
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows by symbol; those that an earlier document of the batch has are marked at once."""
-    for part, raw in _unpacked(batches):
-        words, first = word_hashes(*flat_text(raw), lower=False)
-        starts, key, digest = window_keys(words, first)
-        text = np.searchsorted(first, starts, "right") - 1
-        row = part.column("row").to_numpy()[text]
-        id_ = part.column("doc_id").fill_null(_NO_ID).to_numpy()[text]
-        start = starts - first[text]
-        marked = id_ > _earliest(key, digest, id_)
-        yield _marks(row[marked], start[marked])
-        go = ~marked
-        key, row, id_, start, digest = key[go], row[go], id_[go], start[go], digest[go]
-        begin, size = _stretches(key, row, start=start)
-        octets = np.ascontiguousarray(digest[:, None].view(np.uint8)[:, :DIGEST])
-        ends = np.append(0, np.cumsum(size) * DIGEST).astype(np.int32)
-        packed = pa.BinaryArray.from_buffers(
-            pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(octets)]
-        )
-        yield _met(key[begin], row[begin], id_[begin], start[begin], size, packed)
+def _opened(parcels: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The windows of parcels again: key, row, id, start, digest."""
+    parts = []
+    for parcel in parcels:
+        n, front = np.frombuffer(parcel, dtype=np.int64, count=2)
+        head = zstandard.ZstdDecompressor().decompress(parcel[16 : 16 + front])
+        row, id_, start, size = np.frombuffer(head, dtype=np.int64).reshape(4, n)
+        key = np.frombuffer(parcel, dtype=np.uint64, count=n, offset=16 + front)
+        octets = np.zeros((int(size.sum()), 8), dtype=np.uint8)
+        octets[:, :DIGEST] = np.frombuffer(parcel, dtype=np.uint8, offset=16 + front + 8 * n).reshape(-1, DIGEST)
+        each = [np.repeat(x, size) for x in (key, row, id_)]
+        parts.append((*each, ranges(start, size), octets.view(np.uint64).ravel()))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _meeting(buckets: int):
+    """Windows dealt by symbol; those that an earlier document of the batch has are marked at once."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw in _unpacked(batches):
+            words, first = word_hashes(*flat_text(raw), lower=False)
+            starts, key, digest = window_keys(words, first)
+            text = np.searchsorted(first, starts, "right") - 1
+            row = part.column("row").to_numpy()[text]
+            id_ = part.column("doc_id").fill_null(_NO_ID).to_numpy()[text]
+            start = starts - first[text]
+            marked = id_ > _earliest(key, digest, id_)
+            if marked.any():
+                bucket = int(row[0]) % buckets
+                yield _sent([-1 - bucket], [_marks(row[marked], start[marked])])
+            go = np.flatnonzero(~marked)
+            bucket = (_mixed(key[go], 56) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            go, bucket = go[order], bucket[order]
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(go)])
+            parcels = []
+            for a, b in zip(cuts, [*cuts[1:], len(go)], strict=True):
+                at = go[a:b]
+                parcels.append(_parcel(key[at], row[at], id_[at], start[at], digest[at]))
+            yield _sent(bucket[cuts], parcels)
+
+    return meet
+
+
+def _sent(bucket, parcels: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, type=pa.int64()), pa.array(parcels, type=pa.binary())], names=["bucket", "parcel"]
+    )
 
 
-def _marks(row: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+def _marks(row: np.ndarray, start: np.ndarray) -> bytes:
     begin, size = _stretches(row, start=start)
-    row = row[begin]
-    return _met(_mixed(row.view(np.uint64), 56), row, np.zeros_like(row), start[begin], size, None)
+    return np.concatenate([row[begin], start[begin], size]).astype(np.int64).tobytes()
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks among rows sorted by key; the last key of a batch waits for the next one."""
-    held: list[pa.RecordBatch] = []
-
-    def compared(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        sent = pa.compute.is_valid(rows["digests"])
-        yield from rows.filter(pa.compute.invert(sent)).to_batches()
-        rows = rows.filter(sent).combine_chunks()
-        if rows.num_rows:
-            size = rows["windows"].to_numpy()
-            at = np.repeat(np.arange(rows.num_rows), size)
-            octets = np.zeros((len(at), 8), dtype=np.uint8)
-            octets[:, :DIGEST] = np.frombuffer(b"".join(rows["digests"].to_pylist()), dtype=np.uint8).reshape(-1, DIGEST)
-            digest = octets.view(np.uint64).ravel()
-            id_ = rows["id"].to_numpy()[at]
-            marked = id_ > _earliest(rows["key"].to_numpy().view(np.uint64)[at], digest, id_)
-            start = ranges(rows["start"].to_numpy().astype(np.int64), size)
-            yield _marks(rows["row"].to_numpy()[at[marked]], start[marked])
+    """Marks of windows that earlier documents have, from parcels sorted by bucket."""
 
+    def told(marks: bytes) -> pa.RecordBatch:
+        row, start, size = np.frombuffer(marks, dtype=np.int64).reshape(3, -1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
+            names=["row", "start", "windows"],
+        )
+
+    def compared(parcels: list[bytes]) -> Iterator[pa.RecordBatch]:
+        key, row, id_, start, digest = _opened(parcels)
+        marked = np.flatnonzero(id_ > _earliest(key, digest, id_))
+        marked = marked[np.lexsort((start[marked], row[marked]))]
+        if len(marked):
+            yield told(_marks(row[marked], start[marked]))
+
+    now, held = None, []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column("key").to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:
-            yield from compared(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-            held = []
-        elif held and held[-1].column("key")[0] != batch.column("key")[0]:
-            yield from compared(pa.Table.from_batches(held))
-            held = []
-        held.append(batch.slice(cut))
+        for bucket, parcel in zip(batch.column("bucket").to_pylist(), batch.column("parcel"), strict=True):
+            if bucket < 0:
+                yield told(parcel.as_py())
+                continue
+            if bucket != now and held:
+                yield from compared(held)
+                held = []
+            now = bucket
+            held.append(parcel.as_py())
     if held:
-        yield from compared(pa.Table.from_batches(held))
+        yield from compared(held)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +318,13 @@ def remove(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
         F.col(row).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
     packed = written(rows.mapInArrow(_pack, PACKED), "packed-texts")
-    met = packed.filter(F.col("n_words") >= WINDOW).mapInArrow(_meet, MEETING)
-    marks = met.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, MEETING)
+    total = packed.agg(F.sum("n_words")).first()[0] or 0
+    met = packed.filter(F.col("n_words") >= WINDOW).mapInArrow(
+        _meeting(1 + total // BUCKET_WORDS), "bucket long, parcel binary"
+    )
+    marks = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _compare, "row long, start int, windows int"
+    )
     spans = marks.groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     return packed.join(spans, "row", "left").mapInArrow(
         _cut, "row long, doc_id long, n_words long, n_removed long, kept string"
