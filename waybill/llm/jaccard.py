@@ -20,6 +20,9 @@ Words are runs of characters other than the six ASCII white ones, with A-Z lower
 text and text without words is an empty set and links with nothing; with fewer words than a
 shingle has, the whole sequence is the only one. Rows with equal ids, and with null ids, are
 documents of their own; a component's id is its smallest id that is not null.
+
+Both sides of all joins grow with the corpus, so they are merged and never broadcast; adaptive
+execution splits their hot keys.
 """
 
 from __future__ import annotations
@@ -293,17 +296,13 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _paired(pairs: DataFrame, nodes: DataFrame, column: str, names: tuple[str, str]) -> DataFrame:
     for end, name in zip("ab", names, strict=True):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col(column).alias(name)), end)
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col(column).alias(name)).hint("merge"), end)
     return pairs
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, features: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that link, each with its smaller node first."""
     bounded = _paired(pairs, nodes, "points", ("pa", "pb")).mapInArrow(_bounded, "a long, b long")
-    bounded = written(bounded, "bounded")
-    ends = bounded.select(F.col("a").alias("row")).union(bounded.select(F.col("b").alias("row"))).distinct()
-    texts = written(features.select("row", "packed").join(ends, "row", "left_semi"), "texts")
-    texts = texts.withColumnRenamed("row", "node")
     near = _paired(bounded, texts, "packed", ("xa", "xb"))
     return written(near.mapInArrow(_verified, "a long, b long"), "links")
 
@@ -325,7 +324,7 @@ def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
         "nodes",
     )
     with_cells = full.filter(F.size("cells") > 0).select("row", "cells").join(
-        nodes.select(F.col("node").alias("row")), "row", "left_semi"
+        nodes.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi"
     )
     heads = with_cells.select(F.col("row").alias("node"), "cells").mapInArrow(
         _heads, "cell long, head long, others array<long>"
@@ -338,16 +337,19 @@ def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
         members.select("cell", "least", F.explode(F.concat(F.array("head"), "others")).alias("node")), "cells"
     )
     stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(stars, nodes, features)
+    ends = members.select(F.col("node").alias("row")).distinct().hint("merge")
+    texts = features.select("row", "packed").join(ends, "row", "left_semi")
+    texts = written(texts.withColumnRenamed("row", "node"), "texts")
+    links = _links(stars, nodes, texts)
     labels = components(links)
-    known = members.join(labels, "node", "left").select(
+    known = members.join(labels.hint("merge"), "node", "left").select(
         "cell", "node", F.coalesce("label", "node").alias("comp")
     )
     mixed = known.groupBy("cell").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
     )
-    open_ = known.join(mixed.filter("low <> high").select("cell", "tiles"), "cell").join(
-        nodes.select("node", "points"), "node"
+    open_ = known.join(mixed.filter("low <> high").select("cell", "tiles").hint("merge"), "cell").join(
+        nodes.select("node", "points").hint("merge"), "node"
     )
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
@@ -360,16 +362,16 @@ def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
         .mapInArrow(_listed, "a long, b long")
         .distinct()
     )
-    more = written(listed.join(stars, ["a", "b"], "left_anti"), "pairs")
+    more = written(listed.join(stars.hint("merge"), ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
-        labels = components(links.unionByName(_links(more, nodes, features)))
-    named = nodes.join(labels, "node", "left").select("k1", "k2", "best", F.coalesce("label", "node").alias("comp"))
+        labels = components(links.unionByName(_links(more, nodes, texts)))
+    named = nodes.join(labels.hint("merge"), "node", "left").select("k1", "k2", "best", F.coalesce("label", "node").alias("comp"))
     named = written(named, "named")
     least = named.groupBy("comp").agg(F.min("best").alias("comp_best"))
-    ids = named.join(least, "comp").select(
+    ids = named.join(least.hint("merge"), "comp").select(
         "k1", "k2", F.col("comp_best.doc_id").alias("component_id"), F.col("comp_best.row").alias("first_row")
     )
-    result = features.select("row", "doc_id", "n_shingles", "k1", "k2").join(ids, ["k1", "k2"], "left")
+    result = features.select("row", "doc_id", "n_shingles", "k1", "k2").join(ids.hint("merge"), ["k1", "k2"], "left")
     empty = F.col("n_shingles") == 0
     return result.select(
         "row",
