@@ -1,0 +1,349 @@
+"""Every operator against brute force, on small tables with nulls, ties, repeats and odd columns."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from waybill.llm import bpe, jaccard, language, licenses, mixing, neighbours, prefix, quality, repeats, secrets
+
+BLANK = "[^\\x20\\x09-\\x0D]+"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key int, row string, n int"
+
+
+def table(spark, texts, ids=None):
+    """Documents with columns whose names operators use inside."""
+    ids = list(range(len(texts))) if ids is None else ids
+    rows = [
+        (i, t, ("en", "de", None)[k % 3], (None, "b", "a")[k % 3], None, 1, "x", None)
+        for k, (i, t) in enumerate(zip(ids, texts))
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def corpus(seed=0):
+    """Short texts with copies, near copies, shared passages, repeated lines, blanks and nulls."""
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(60)] + ["Éa", "中文", "&&&", "|", "don't"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.choice([1, 2, 5, 30, 120]))) for _ in range(60)]
+    passage = " ".join(rnd.choice(words) for _ in range(40))
+    for i in range(0, 20, 2):
+        texts[i] += " " + passage + "\n" + texts[i + 1]
+    for t in texts[20:30]:
+        copy = t.split(" ")
+        copy[len(copy) // 2] = "changed"
+        texts += [t, " ".join(copy), t + " more"]
+    return texts + [None, "", " \t\n", "\n\n", "a", "A  a\x0bA", "same line\nsame line\nsame line", "x " * 300]
+
+
+def blank_words(text):
+    return re.findall(BLANK, text or "")
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def tricky(seed, n):
+    rnd = random.Random(seed)
+    parts = list("abtse1'!. \n\t") + ["'s", "'re", "'ll", " ", "　", "é", "中", "😀", "  ", "ing", "\r\n", "▁", "\x00"]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(n)]
+
+
+def test_bpe_is_the_librarys_and_decodes(spark, ranks):
+    import tiktoken
+
+    known = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    texts = [None, "", "a" * 5000, "ab " * 3000, "<|endoftext|>", *tricky(1, 400), *corpus()]
+    for pattern in (None, public_tokenizers.PATTERN):
+        coded = bpe.decode(bpe.encode(table(spark, texts), ranks, pattern), ranks).collect()
+        for row in coded:
+            assert row.ids == known.encode_ordinary(row.text or "")
+            assert row.decoded.decode() == (row.text or "")
+            assert row.key == 1
+    with pytest.raises(ValueError):
+        bpe.RankMap({b"a": 0})
+
+
+def test_bpe_of_an_empty_table(spark, ranks):
+    assert bpe.decode(bpe.encode(table(spark, []), ranks), ranks).count() == 0
+
+
+def test_prefix_counts_are_the_librarys(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    known, pieces = sentencepiece.SentencePieceProcessor(model_file=path), prefix.vocabulary(path)
+    texts = [None, "", " " * 50, "a" * 300, "<s> </s>", *tricky(2, 300), *corpus()[:20]]
+    for row in prefix.count_tokens(table(spark, texts), pieces, 7, prefixes=True).collect():
+        text = row.text or ""
+        want = [len(known.encode(text[:i])) for i in range(1, len(text) + 1)]
+        assert (row.prefix_tokens, row.n_tokens) == (want, len(known.encode(text)))
+        assert row.n_bytes == len(text.encode())
+        assert row.fit_chars == max((i for i, n in enumerate(want, 1) if n <= 7), default=0)
+    assert prefix.count_tokens(table(spark, []), pieces, 7).count() == 0
+
+
+def test_neighbours_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((1500, 16))
+    vectors[1000:1400] = vectors[0]
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(vectors)]
+    odd = [(2000, None, ""), (2020, [0.0] * 16, ""), (2040, [float("nan")] * 16, ""), (2060, [None] * 16, ""), (None, [1.0] * 16, "")]
+    data = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, block string")
+    found = neighbours.search(data, F.col("vec_id") % 20 == 0, 20, block_rows=400).collect()
+    exact = np.array([np.float32(v) for v in vectors], dtype=np.float64)
+    by_query, hit = {}, 0
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(by_query) == list(range(0, 1500, 20))
+    for q, got in by_query.items():
+        scores = exact @ exact[q]
+        best = sorted((i for i in range(1500) if i != q), key=lambda i: (-scores[i], i))[:20]
+        hit += len(set(best) & {i for i, _ in got})
+        assert got == sorted(got, key=lambda x: (-x[1], x[0])) and len(got) == 20
+        assert np.allclose([s for _, s in got], [scores[i] for i, _ in got], rtol=1e-12)
+    assert hit >= 0.95 * 20 * len(by_query)
+    few = spark.createDataFrame(rows[:3], data.schema)
+    assert neighbours.search(few, F.col("vec_id") % 20 == 0, 20).count() == 2
+    assert neighbours.search(data.filter("false"), F.col("vec_id") % 20 == 0, 20).count() == 0
+
+
+def test_language_by_all_segmentations(spark):
+    from waybill.llm.queries import letter_pieces
+
+    import pyarrow as pa
+
+    pieces = language.Pieces(letter_pieces())
+    rng = np.random.default_rng(0)
+    chances = rng.random((pieces.size, 2))
+    model = language.Model(pieces, ["a", "b"], chances / chances.sum(axis=0))
+    words = language.Words(pieces, pa.array(["Straße zu x"]))
+    logs = model.word_logs(words)[words.word]
+    of = {}
+    for letters, number in _spelled(pieces):
+        of[letters] = number
+    for text, got in zip(["straße", "zu", "x"], logs):
+        coded = [int(pieces.letter[ord(c)]) for c in "▁" + text]
+        total = [np.ones(2)]
+        for i in range(1, len(coded) + 1):
+            total.append(sum((total[j] * model.chances[of[tuple(coded[j:i])]] for j in range(i) if tuple(coded[j:i]) in of), np.zeros(2)))
+        assert np.allclose(got, np.log(total[-1]))
+
+
+def _spelled(pieces):
+    """All pieces with their letters, read off the trie."""
+    table_, ends = pieces.trie.step, pieces.trie.ends
+    entries = [int(e) for e in table_.entries if e >= 0]
+    parent = {e & 0xFFFFF: ((e >> 20) >> 17, (e >> 20) & 0x1FFFF) for e in entries}
+    for node, number in enumerate(ends):
+        letters, at = [], node
+        while at:
+            at, letter = parent[at]
+            letters.append(letter)
+        if number >= 0:
+            yield tuple(letters), int(number)
+
+
+def test_language_predictions(spark):
+    from waybill.llm.queries import letter_pieces
+
+    english = ["the house and the garden", "with this and that for you", "when they were there"] * 4
+    german = ["das haus und der garten", "mit dem und nicht für dich", "wenn sie nicht dort waren"] * 4
+    rows = [(i, t, l, 1) for i, (t, l) in enumerate([(t, "en") for t in english] + [(t, "de") for t in german])]
+    rows += [(100, None, None, 1), (101, "123 %", None, 1), (102, "", "en", 1), (None, "und das haus", None, 1), (None, "and the house", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, piece int")
+    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))), letter_pieces())
+    got = language.predict(docs, model).collect()
+    assert all(r.lang_pred == r.lang for r in got if r.lang and r.text)
+    assert [r.lang_pred for r in got[-2:]] == ["de", "en"]
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in got if r.doc_id and 99 < r.doc_id < 103)
+    assert all(0 <= r.score <= 1 for r in got)
+    nothing = language.learn(docs.filter("false"), letter_pieces())
+    assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
+    assert language.predict(docs.filter("false"), model).count() == 0
+
+
+def test_licenses(spark):
+    words = licenses.TEXTS["mit"].split()
+    cut = " ".join(words[:40] + ["extra", "words"] + words[45:])
+    texts = [None, "", "Under the MIT License, and under the mit license", "under the mit", "CC BY-NC x", cut, "x " * 50]
+    ids = [3, 4, None, 6, 7, 8, 8]
+    got = licenses.scan(table(spark, texts, ids)).collect()
+    assert len(got) == len(texts)
+    by = {(r.doc_id, r.n_words): r for r in got}
+    assert (by[None, 9].n_base, by[None, 9].first_word, by[None, 9].last_word, by[None, 9].labels) == (2, 0, 5, "mit")
+    assert (by[7, 4].base_labels, by[6, 3].labels, by[3, 0].labels, by[4, 0].first_word) == ("cc-by-nc", "", "", None)
+    long = [r for r in got if r.doc_id == 8 and r.n_words > 60][0]
+    assert (long.n_base, long.base_labels, long.labels) == (0, "", "mit") and 0.6 < long.score < 1
+    assert licenses.scan(table(spark, [])).count() == 0
+
+
+def shingles(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = tuple(blank_words(lower))
+    return {words} - {()} if len(words) < 3 else {words[i : i + 3] for i in range(len(words) - 2)}
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_jaccard_components_against_all_pairs(spark, seed):
+    rnd, texts = random.Random(seed), corpus(seed)
+    base = [f"t{i}" for i in range(200)]
+    for _ in range(40):  # chains of near copies
+        base[rnd.randrange(200)] = f"n{rnd.random()}"
+        texts.append(" ".join(base))
+    ids = [None if i % 17 == 0 else i // 2 * 2 if i % 11 == 0 else i for i in range(len(texts))]
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+
+    def root(i):
+        return i if label[i] == i else root(label[i])
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+                label[root(i)] = root(j)
+    least = {}
+    for i, d in enumerate(ids):
+        r = root(i)
+        least[r] = min((x for x in (least.get(r), d) if x is not None), default=None)
+    want = Counter((d, len(s), least[root(i)] if s else d) for i, (d, s) in enumerate(zip(ids, sets)))
+    docs = table(spark, texts, ids).drop("row").withColumn("row", F.monotonically_increasing_id())
+    got = jaccard.groups(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    full = {root(i) for i, s in enumerate(sets) if s}
+    assert sum(r["first"] for r in got) == len(full) + sum(not s for s in sets)
+
+
+def test_jaccard_of_an_empty_table(spark):
+    assert jaccard.groups(table(spark, []).withColumn("row", F.lit(1))).count() == 0
+
+
+def test_count_tree_finds_all_pairs():
+    rng = np.random.default_rng(5)
+    points = rng.poisson(6, (700, jaccard.GROUPS)).astype(np.int32)
+    points[300:] = np.maximum(points[:400] + rng.integers(-1, 2, (400, jaccard.GROUPS)), 0)
+    a, b = jaccard.CountTree(points).pairs()
+    common = np.array([np.minimum(points, p).sum(axis=1) for p in points])
+    size = points.sum(axis=1)
+    want = 190 * common >= 90 * (size[:, None] + size)
+    assert {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())} == {(i, j) for i, j in zip(*np.nonzero(want)) if i < j}
+
+
+def test_mixing_meets_targets(spark):
+    texts = [t for s in range(6) for t in corpus(s)]
+    docs = table(spark, texts)
+    runs = []
+    for parts in (1, 7):
+        measured = mixing.measure(docs.repartition(parts))
+        runs.append(mixing.take(measured, mixing.plan(measured)).collect())
+    assert {(r.doc_id, r.taken) for r in runs[0]} == {(r.doc_id, r.taken) for r in runs[1]}
+    total = sum(len(blank_words(t)) for t in texts)
+    by = {}
+    for r in runs[0]:
+        assert r.size == len(blank_words(r.text)) and r.taken in (0, r.size, 2 * r.size)
+        by.setdefault(r.source, []).append(r)
+    assert sum(rows[0].target for rows in by.values()) == pytest.approx(1.5 * total)
+    longest = max(r.size for r in runs[0])
+    for rows in by.values():
+        assert rows[0].source_size == sum(r.size for r in rows)
+        assert rows[0].target <= 2 * rows[0].source_size
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= longest
+    empty = mixing.measure(docs.filter("false"))
+    assert mixing.take(empty, mixing.plan(empty)).count() == 0
+    blank = mixing.measure(table(spark, [None, ""]))
+    assert [r.taken for r in mixing.take(blank, mixing.plan(blank)).collect()] == [0, 0]
+
+
+def test_quality_rules(spark):
+    texts = corpus(4) + ["a b c d e f g a b c d e f g x", None]
+    docs = table(spark, texts)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)] + [(1, 1, 0), (None, 1, 0), (12, 1, None), (13, None, 0)], "doc_id long, quality int, toxic int")
+    trusted = quality.trusted_ids(labels)
+    assert {r.doc_id for r in trusted.collect()} == {*range(10), 12}
+    logs = quality.weights(docs, trusted)
+    for r in quality.rules(docs, logs).collect():
+        words = blank_words(r.text)
+        windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        covered = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+        lines = [x for x in (r.text or "").split("\n") if blank_words(x)]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(words), sum(map(len, words)), len(covered))
+        assert (r.n_dup_lines, r.n_symbols) == (len(lines) - len(set(lines)), len(re.findall("[#*$%&|<>]", r.text or "")))
+        assert r.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
+        assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
+    assert quality.weights(docs, trusted.filter("false")) == [0.0] * quality.BUCKETS
+    assert quality.rules(docs.filter("false"), logs).count() == 0
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_repeats_against_all_windows(spark, seed):
+    texts = corpus(seed) + ["z " * 100 + "end", "z " * 90]
+    ids = [None if i % 13 == 0 else i // 2 * 2 if i % 7 == 0 else (i * 37) % 101 for i in range(len(texts))]
+    first = {}
+    for d, t in zip(ids, texts):
+        words = blank_words(t)
+        for i in range(len(words) - 12):
+            first[tuple(words[i : i + 13])] = min(first.get(tuple(words[i : i + 13]), 1 << 62), 1 << 62 if d is None else d)
+    want = Counter()
+    for d, t in zip(ids, texts):
+        words, gone = blank_words(t), set()
+        for i in range(len(words) - 12):
+            if first[tuple(words[i : i + 13])] < (1 << 62 if d is None else d):
+                gone |= set(range(i, i + 13))
+        want[d, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)] += 1
+    docs = table(spark, texts, ids).drop("row").withColumn("row", F.monotonically_increasing_id())
+    got = repeats.remove(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == want
+    assert repeats.remove(docs.filter("false")).count() == 0
+
+
+def test_equal_windows_get_equal_symbols():
+    import pyarrow as pa
+
+    from waybill.llm.common import flat_text
+
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcd") for _ in range(400)) for _ in range(40)]
+    words, first = jaccard.word_hashes(*flat_text(pa.array(texts)), lower=False)
+    starts, key, digest = repeats.window_keys(words, first)
+    known = {}
+    for s, k, d in zip(starts.tolist(), key.tolist(), digest.tolist()):
+        assert known.setdefault(tuple(words[s : s + 13].tolist()), (k, d)) == (k, d)
+
+
+def found_by_rules(text):
+    rules = [
+        (r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        (r"AKIA[A-Z0-9]+", 0, 20),
+        (r"[0-9a-f]+", 0, 24),
+    ]
+    names = ["assign", "access", "hex"]
+    return [(names[k], a, b) for a, k, b in sorted((m.start(), k, m.end()) for k, (p, g, n) in enumerate(rules) for m in re.finditer(p, text or "") if len(m[g]) >= n)]
+
+
+def test_secrets_scan_unseen_blobs_only(spark, tmp_path):
+    texts = [None, "", "é PASSWORD = 'hunter22' x", "token: short", "AKIA" + "A" * 20, "ab" * 12 + " " + "0" * 23, "apikey:abcdef123456 " + "f" * 40]
+    docs = table(spark, texts * 3, list(range(21)))
+    ledger = str(tmp_path / "ledger")
+    got = secrets.scan(docs, ledger, secrets.BASE).collect()
+    assert len(got) == 21
+    for r in got:
+        assert [tuple(s) for s in r.spans] == found_by_rules(r.text)
+    assert spark.read.parquet(f"{ledger}/*").count() == 6  # null and empty are one blob
+    more = secrets.scan(table(spark, [*texts, "secret=abcdefgh"]), ledger, secrets.BASE)
+    assert more.count() == 8 and spark.read.parquet(f"{ledger}/*").count() == 7
+    key = "-----BEGIN RSA PRIVATE KEY-----"
+    extended = secrets.scan(table(spark, [*texts, key]), ledger)
+    assert [r.spans[0].kind for r in extended.collect() if r.text == key] == ["private_key"]
+    assert spark.read.parquet(f"{ledger}/*").filter(F.col("rules") == secrets.version(secrets.BASE)).count() == 7
+    clean = extended.select(secrets.masked(F.col("text"), F.col("spans")).alias("t"), "text").collect()
+    assert all(len(r.t) == len(r.text) and not found_by_rules(r.t) for r in clean if r.text)
+    assert secrets.scan(table(spark, []), str(tmp_path / "none")).count() == 0

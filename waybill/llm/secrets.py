@@ -145,7 +145,7 @@ def _packed(docs: DataFrame, text: str) -> DataFrame:
 def read_ledger(spark, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
     """``blob, spans`` known for the rules; a ledger that is not there yet is empty."""
     try:
-        rows = spark.read.schema(LEDGER).parquet(ledger)
+        rows = spark.read.schema(LEDGER).parquet(f"{ledger}/*")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -162,7 +162,7 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: st
     once = unseen.groupBy("blob").agg(F.first("packed").alias("packed"))
     find(once, rules).write.parquet(f"{ledger}/{uuid.uuid4().hex}")
     rows = docs.drop("blob", "spans").withColumn("blob", address(F.col(text)))
-    return rows.join(read_ledger(spark, f"{ledger}/*", rules), "blob")
+    return rows.join(read_ledger(spark, ledger, rules), "blob")
 
 
 def masked(text: Column, spans: Column, mask: str = "*") -> Column:
