@@ -14,7 +14,7 @@ def con():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, driver.queries()[name], driver.oracle_sql()[name], SF) is None
 

@@ -178,7 +178,7 @@ def org_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         dws.TRADE_ORG_ORDER_DAY,
         S.first_order_lines(spark, sf_dir, S.senders(spark, sf_dir)),
         S.dims(spark, sf_dir),
-        salts=0,
+        dedup=False,
     )
 
 
@@ -191,7 +191,7 @@ def cargo_type_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         dws.TRADE_CARGO_TYPE_ORDER_DAY,
         S.first_order_lines(spark, sf_dir, amounts),
         S.dims(spark, sf_dir),
-        salts=0,
+        dedup=False,
     )
 
 

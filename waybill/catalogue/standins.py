@@ -33,10 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def live_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a stream of its files."""
+    """The same table, a file or a folder of files, as a stream of its files."""
     schema = table(spark, sf_dir, name).schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return files.parquet(sf_dir)
+    # as a pattern: a stream takes the path of one file only so
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def text(column: str) -> Column:

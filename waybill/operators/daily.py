@@ -20,7 +20,6 @@ def daily_totals(
     carried: Sequence[str] = (),
     resolve: Callable[[DataFrame], DataFrame] | None = None,
     raw_keys: Sequence[str] | None = None,
-    zone: str = ZONE,
 ) -> DataFrame:
     """``cur_date, keys, carried, measures``: each measure totalled per local day and key.
 
@@ -58,7 +57,7 @@ def daily_totals(
             .agg(*first("__ts"), *[F.sum(name).alias(name) for name in measures])
         )
     return totals.select(
-        local_date("__day.start", zone).alias("cur_date"),
+        local_date("__day.start").alias("cur_date"),
         *keys,
         *[F.col(f"__c.{c}").alias(c) for c in carried],
         *measures,

@@ -25,7 +25,7 @@ def one_row_per_key(dim: DataFrame, keys: list[str], take: list[str], prefer: st
 
 def lookup_join(
     df: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | None,
     on: Mapping[str, str],
     take: Mapping[str, str],
     unique: bool = False,
@@ -36,6 +36,8 @@ def lookup_join(
     ``unique`` says the dim columns are the table's primary key, so nothing has to be
     reduced. A missing or null key leaves nulls. A name already in ``df`` is replaced.
     """
+    if dim is None:
+        raise ValueError(f"no dimension table for {list(on)}: its source is missing from the config")
     if not unique:
         dim = one_row_per_key(dim, list(on.values()), list(take), prefer)
     right = dim.select(

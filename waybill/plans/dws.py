@@ -79,12 +79,9 @@ class Metric:
 
 
 def once_per_order(rows: DataFrame, salts: int = 16) -> DataFrame:
-    """The first row of each order: by ``(ts, id)`` in batch, by arrival in a stream.
-
-    ``salts=0`` says the rows are one per order already.
-    """
-    if salts == 0:
-        return rows
+    """The first row of each order: by ``(ts, id)`` in batch, by arrival in a stream."""
+    if salts < 1:
+        raise ValueError("salts must be 1 at least")
     if rows.isStreaming:
         return first_per_key_stream(rows, ["order_id"], "id", salts)
     return first_per_key(rows, ["order_id"], ["ts", "id"])
@@ -149,9 +146,15 @@ def _sort_named(totals: DataFrame, dims: Dims) -> DataFrame:
 # --- orders and amount per cargo type -----------------------------------------------------
 
 
-def _cargo_totals(detail: DataFrame, dims: Dims, salts: int = 16) -> DataFrame:
-    """The whole order counts for the cargo type of its first line."""
-    rows = once_per_order(detail.select("id", "order_id", "cargo_type", "amount", "ts"), salts)
+def _cargo_totals(
+    detail: DataFrame, dims: Dims, salts: int = 16, dedup: bool = True
+) -> DataFrame:
+    """The whole order counts for the cargo type of its first line.
+
+    ``dedup=False`` says the rows are one per order already.
+    """
+    rows = detail.select("id", "order_id", "cargo_type", "amount", "ts")
+    rows = once_per_order(rows, salts) if dedup else rows
     return daily_totals(
         rows,
         ["cargo_type"],
@@ -168,8 +171,12 @@ def _cargo_named(totals: DataFrame, dims: Dims) -> DataFrame:
 # --- orders and amount per organisation ---------------------------------------------------
 
 
-def _trade_org_totals(detail: DataFrame, dims: Dims, salts: int = 16) -> DataFrame:
-    rows = once_per_order(_place(detail, "sender", F.col("amount")).drop("province_id"), salts)
+def _trade_org_totals(
+    detail: DataFrame, dims: Dims, salts: int = 16, dedup: bool = True
+) -> DataFrame:
+    """An order counts once; ``dedup=False`` says the rows are one per order already."""
+    rows = _place(detail, "sender", F.col("amount")).drop("province_id")
+    rows = once_per_order(rows, salts) if dedup else rows
     return _org_totals(
         rows,
         dims,

@@ -56,7 +56,7 @@ def _dws(metric: Metric) -> Callable:
 
         values = read_topic(spark, config, metric.topic, metric.table)
         detail = parse_detail(values, wire_ddl(metric))
-        options = {"salts": int(config["count-salts"])} if metric.counts_orders else {}
+        options = {"salts": config.number("count-salts")} if metric.counts_orders else {}
         totals = metric.stream(detail, dims(), **options)
         return write_metric(totals, lambda b: metric.finish(b, dims()), config, metric.table)
 
@@ -74,7 +74,7 @@ JOBS: dict[str, Callable[[SparkSession, JobConfig], StreamingQuery]] = {
     "dwd_order_relevant": _dwd(
         "dwd_order_relevant",
         "dwd_order_relevant_app",
-        lambda v, c: dwd.order_topics(v, int(c["line-salts"])),
+        lambda v, c: dwd.order_topics(v, c.number("line-salts")),
     ),
     "dwd_bound_relevant": _dwd(
         "dwd_bound_relevant", "dwd_bound_relevant_app", lambda v, c: dwd.bound_topics(v)
@@ -95,9 +95,9 @@ def main(args: list[str]) -> None:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if base:
             config["checkpoint-root"] = f"{base}/waybill"
-    with session.sized_state(spark):
-        query = JOBS[args[0]](spark, config)
-    query.awaitTermination()
+    if config.get("state-partitions"):  # kept by a checkpoint for life
+        spark.conf.set("spark.sql.shuffle.partitions", config.number("state-partitions"))
+    JOBS[args[0]](spark, config).awaitTermination()
 
 
 if __name__ == "__main__":

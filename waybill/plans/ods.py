@@ -52,10 +52,11 @@ def rename_ts(value: str) -> Column:
     def part(name: str, text: Column) -> Column:
         return F.concat(F.lit(f',"{name}":'), F.coalesce(text, F.lit("null")))
 
+    escaped = F.to_json(F.array(e["op"]))
+    op = F.when(e["op"].isNotNull(), F.substring(escaped, F.lit(2), F.length(escaped) - 2))
     return F.concat(
-        F.lit('{"op":"'),
-        e["op"],
-        F.lit('"'),
+        F.lit('{"op":'),
+        F.coalesce(op, F.lit("null")),
         part("ts", F.coalesce(e["ts_ms"], e["ts"]).cast("string")),
         part("source", e["source"]),
         part("before", e["before"]),

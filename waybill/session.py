@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -46,23 +44,6 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextlib.contextmanager
-def sized_state(spark: SparkSession) -> Iterator[None]:
-    """Start streams with at most two state partitions per core.
-
-    A stream keeps its number of partitions for life and commits each in every batch, so
-    many more of them than cores only cost time.
-    """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set(name, str(min(int(before), 2 * cores)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
