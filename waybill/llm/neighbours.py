@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waybill.llm.common import ranges, written
+from waybill.llm.common import written
 
 #: Vectors of a block, about, and lines it projects them on.
 BLOCK_ROWS, LINES = 8192, 48
+#: Queries whose windows a step widens together.
+QUERIES_AT_ONCE = 64
 #: Half a window's width as part of the radius, and how much a radius grows in each step.
 HALF, GROWTH = 0.7, 1.12
 #: Chance that a vector just within the radius falls in a window: a normal within HALF.
@@ -53,44 +55,75 @@ class Block:
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, LINES))
         places = np.column_stack([vectors, lift]) @ self.lines
         order = np.argsort(places, axis=0, kind="stable")
-        self.order = order.T.astype(np.int32).ravel()
+        self.order = order.T.astype(np.intp).ravel()
         self.sorted = [np.ascontiguousarray(np.take_along_axis(places, order, axis=0)[:, i]) for i in range(LINES)]
         self.least = int(np.ceil(CHANCE * LINES - MARGIN * np.sqrt(LINES * CHANCE * (1 - CHANCE))))
 
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and measures of the block's nearest, best first."""
-        n, places = len(self.ids), query @ self.lines[:-1]
-        others = self.ids != query_id
-        left = others.copy()
-        k = min(k, int(others.sum()))
-        if not k:
-            return self.ids[:0], np.zeros(0)
-        most = float(query @ query) + self.square
-        radius, hits = 0.4 * np.sqrt(most), np.zeros(n, dtype=np.int32)
-        low = high = np.array([np.searchsorted(s, p) for s, p in zip(self.sorted, places, strict=True)])
-        found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        base = np.arange(LINES) * n
-        while True:
-            sides = list(zip(self.sorted, places, strict=True))
-            wide_low = np.array([np.searchsorted(s, p - HALF * radius) for s, p in sides])
-            wide_high = np.array([np.searchsorted(s, p + HALF * radius, "right") for s, p in sides])
-            more = ranges(
-                np.concatenate([base + wide_low, base + high]),
-                np.concatenate([low - wide_low, wide_high - high]),
-            )
-            hits += np.bincount(self.order[more], minlength=n).astype(np.int32)
-            low, high = wide_low, wide_high
-            fresh = np.flatnonzero(left & (hits >= self.least))
-            if len(fresh):
-                left[fresh] = False
-                found = np.append(found, fresh)
-                scores = np.append(scores, np.einsum("ij,j->i", self.exact[fresh], query))
-            if len(found) >= k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                if most - 2 * kth <= radius * radius or not left.any():
-                    best = np.lexsort((self.ids[found], -scores))[:k]
-                    return self.ids[found[best]], scores[best]
-            radius *= GROWTH
+    def windows(self, places: np.ndarray, side: str = "left") -> np.ndarray:
+        """Where places on each line stand in the order of all lines, line behind line."""
+        n = len(self.ids)
+        return np.column_stack([i * n + s.searchsorted(places[:, i], side) for i, s in enumerate(self.sorted)])
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query, ids and measures of the block's nearest, best first.
+
+        A step widens the windows of all queries that still search.
+        """
+        searches = [Search(self, i, q, k) for i, q in zip(query_ids, queries, strict=True)]
+        places = queries @ self.lines[:-1]
+        radius = np.array([0.4 * np.sqrt(s.most) for s in searches])
+        low = self.windows(places)
+        high = low.copy()
+        active = np.array([i for i, s in enumerate(searches) if s.k], dtype=np.intp)
+        while len(active):
+            reach = HALF * radius[active, None]
+            wide_low, wide_high = self.windows(places[active] - reach), self.windows(places[active] + reach, "right")
+            going = [
+                not searches[i].widen(
+                    np.concatenate([wide_low[j], high[i]]), np.concatenate([low[i], wide_high[j]]), radius[i]
+                )
+                for j, i in enumerate(active)
+            ]
+            low[active], high[active] = wide_low, wide_high
+            active = active[going]
+            radius[active] *= GROWTH
+        return [s.best() for s in searches]
+
+
+class Search:
+    """What one query has counted and verified in a block."""
+
+    def __init__(self, block: Block, query_id: int, query: np.ndarray, k: int):
+        self.block, self.query = block, query
+        self.left = block.ids != query_id
+        self.k = min(k, int(self.left.sum()))
+        self.most = float(query @ query) + block.square
+        self.hits = np.zeros(len(block.ids), dtype=np.uint8)
+        self.found, self.scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def widen(self, starts: np.ndarray, ends: np.ndarray, radius: float) -> bool:
+        """Count what stands at places ``start .. end - 1`` of the lines; whether the search ends."""
+        block = self.block
+        more = [block.order[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        self.hits += np.bincount(np.concatenate(more), minlength=len(block.ids)).astype(np.uint8)
+        fresh = np.flatnonzero(self.left & (self.hits >= block.least))
+        if len(fresh):
+            self.left[fresh] = False
+            self.found = np.append(self.found, fresh)
+            self.scores = np.append(self.scores, np.einsum("ij,j->i", block.exact.take(fresh, axis=0), self.query))
+        if len(self.found) < self.k:
+            return False
+        return self.most - 2 * self.kth() <= radius * radius or not self.left.any()
+
+    def kth(self) -> float:
+        place = len(self.scores) - self.k
+        return np.partition(self.scores, place)[place]
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        top = np.flatnonzero(self.scores >= self.kth()) if self.k else self.found
+        ids, scores = self.block.ids[self.found[top]], self.scores[top]
+        best = np.lexsort((ids, -scores))[: self.k]
+        return ids[best], scores[best]
 
 
 def usable(vector: Column) -> Column:
@@ -140,11 +173,12 @@ def search(
                 if block is None and held:
                     block = Block(np.concatenate(ids), np.concatenate(held), seed)
                     ids, held = [], []
-                found = [block.nearest(i, q, k) for i, q in zip(key, flat, strict=True)] if block else []
-                if found:
+                for at in range(0, len(key) if block else 0, QUERIES_AT_ONCE):
+                    asking = key[at : at + QUERIES_AT_ONCE]
+                    found = block.nearest(asking, flat[at : at + QUERIES_AT_ONCE], k)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.repeat(key, [len(f[0]) for f in found])),
+                            pa.array(np.repeat(asking, [len(f[0]) for f in found])),
                             pa.array(np.concatenate([f[0] for f in found])),
                             pa.array(np.concatenate([f[1] for f in found])),
                         ],
