@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import chunks, flat_text, lists
+from waybill.llm.common import chunks, flat_text, lists, ranges
 from waybill.llm.tables import Table, Trie
 
 #: The character that stands for a space, and its UTF-8 form.
@@ -244,24 +244,21 @@ class Chunk:
         own = np.where(
             empty, self.vocabulary.spaces(spaces) - self.vocabulary.spaces(before), self.count[end] - lone + self.vocabulary.spaces(before + lone) - self.vocabulary.spaces(before)
         )
-        self.before, self.total = before, np.cumsum(own)
-
-    def upto(self, position: np.ndarray) -> np.ndarray:
-        return np.append(0, self.total)[position]
+        self.before, self.total = before, np.append(0, np.cumsum(own))
 
     def tokens(self) -> np.ndarray:
-        return self.upto(self.first[1:]) - self.upto(self.first[:-1])
+        return np.diff(self.total[self.first])
 
     def prefixes(self, row: int) -> np.ndarray:
         """Tokens of the first 1, 2, ... characters of a text."""
-        word = np.arange(self.first[row], self.first[row + 1])
-        parts = []
-        done = self.upto(word) - self.upto(self.first[row])
-        for w, base in zip(word, done, strict=True):
-            span = slice(self.start[self.word[w]], self.start[self.word[w]] + self.size[self.word[w]])
-            spaces, lone = int(self.before[w]), self.lone[span]
-            parts.append(base - self.vocabulary.spaces(np.array(spaces)) + self.count[span] - lone + self.vocabulary.spaces(spaces + lone))
-        return np.concatenate(parts)[1:] if parts else np.zeros(0, dtype=np.int64)
+        some = slice(self.first[row], self.first[row + 1])
+        word, spaces = self.word[some], self.before[some]
+        done = self.total[some] - self.total[some.start]
+        # a lone space that leads a word joins the spaces before it
+        joined = self.vocabulary.spaces(spaces + 1) - self.vocabulary.spaces(spaces) - 1
+        size = self.size[word]
+        at = ranges(self.start[word], size)
+        return (self.count[at] + np.repeat(done, size) + self.lone[at] * np.repeat(joined, size))[1:]
 
 
 def vocabulary(model_file: str) -> Vocabulary:
@@ -302,7 +299,7 @@ def count_tokens(
             chars = pa.compute.fill_null(pa.compute.utf8_length(batch.column(text)), 0).cast(pa.int64())
             fit = chars.to_numpy().copy()
             for row in np.flatnonzero(tokens > limit):
-                fit[row] = np.flatnonzero(chunk.prefixes(row) <= limit)[-1] + 1
+                fit[row] = np.max(np.flatnonzero(chunk.prefixes(row) <= limit) + 1, initial=0)
             added = [pa.array(chunk.bytes), pa.array(tokens.astype(np.int64)), pa.array(fit)]
             if prefixes:
                 rows = [chunk.prefixes(r) for r in range(batch.num_rows)]
