@@ -50,3 +50,35 @@ def test_streams_read_tables_that_are_folders(spark, tmp_path):
         return {tuple(r) for r in live.stream_day_count(spark, sf_dir).select(F.struct("*")).collect()}
 
     assert found(str(tmp_path)) == found(SF) != set()
+
+
+def test_renamed_organisation_keeps_its_total(spark, tmp_path):
+    """A rename between two runs of one query neither splits the total nor loses counts."""
+    ddl = (
+        "id string, order_id string, ts timestamp, sender_district_id string, "
+        "sender_city_id string, sender_province_id string, amount decimal(38,2)"
+    )
+    totals = {}
+
+    def run(order, name):
+        rows = spark.sql("SELECT timestamp'2024-01-10 02:00:00' AS ts, 10.00 AS amount")
+        rows = rows.withColumn("ts", F.col("ts") + F.make_dt_interval(hours=F.lit(int(order))))
+        more = {"id": order, "order_id": order, "sender_district_id": "d", "sender_city_id": "c"}
+        rows = rows.withColumns({k: F.lit(v) for k, v in more.items()} | {"sender_province_id": F.lit("p")})
+        rows.select([F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], ddl).schema]).write.mode(
+            "append"
+        ).parquet(str(tmp_path / "in"))
+        organ = spark.createDataFrame([("o", name, "d")], "id string, org_name string, region_id string")
+        detail = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
+        made = dws.TRADE_ORG_ORDER_DAY.stream(detail, dws.Dims(organ=organ))
+        query = made.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state"))
+
+        def keep(batch, _):
+            for r in batch.collect():
+                totals[r.cur_date, r.org_id] = (r.org_name, r.order_count_base, float(r.order_amount_base))
+
+        query.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+
+    run("1", "Old")
+    run("2", "New")
+    assert list(totals.values()) == [("Old", 2, 20.0)]

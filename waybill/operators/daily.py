@@ -20,12 +20,15 @@ def daily_totals(
     carried: Sequence[str] = (),
     resolve: Callable[[DataFrame], DataFrame] | None = None,
     raw_keys: Sequence[str] | None = None,
+    found: Sequence[str] = (),
 ) -> DataFrame:
-    """``cur_date, keys, carried, measures``: each measure totalled per local day and key.
+    """``cur_date, keys, found, carried, measures``: each measure totalled per local day and key.
 
-    ``measures`` maps a result name to the column to sum, or to ``ROWS``. ``carried`` columns keep the value of the day's first row of the key (earliest ``ts``,
-    then smallest value). Null keys form a group of their own. When the keys have to be
-    looked up, ``resolve`` turns rows with ``raw_keys`` into rows with ``keys``.
+    ``measures`` maps a result name to the column to sum, or to ``ROWS``. ``carried`` columns
+    keep the value of the day's first row of the key (earliest ``ts``, then smallest value).
+    Null keys form a group of their own. When the keys have to be looked up, ``resolve`` turns
+    rows with ``raw_keys`` into rows with ``keys``; ``found`` are columns that it adds beside
+    the keys, such as names. They are carried too: a key that is renamed stays one group.
 
     Batch input is first summed by raw key *and* carried values: those buffers are
     fixed-width, so the pass over the big input is a hash aggregate with a combine before
@@ -39,15 +42,16 @@ def daily_totals(
     day = day_window("ts").alias("__day")
     resolve = resolve or (lambda rows: rows)
     raw_keys = keys if raw_keys is None else raw_keys
+    kept = [*carried, *found]
 
     def first(ts: str) -> list[Column]:
-        if not carried:
+        if not kept:
             return []
-        return [F.min_by(F.struct(*carried), F.struct(ts, *carried)).alias("__c")]
+        return [F.min_by(F.struct(*kept), F.struct(ts, *kept)).alias("__c")]
 
     if df.isStreaming:
         totals = resolve(df).groupBy(day, *keys).agg(*first("ts"), *sums)
-    elif not carried and list(raw_keys) == list(keys):
+    elif not kept and list(raw_keys) == list(keys):
         totals = df.groupBy(day, *keys).agg(*sums)
     else:
         parts = df.groupBy(day, *raw_keys, *carried).agg(F.min("ts").alias("__ts"), *sums)
@@ -59,6 +63,6 @@ def daily_totals(
     return totals.select(
         local_date("__day.start").alias("cur_date"),
         *keys,
-        *[F.col(f"__c.{c}").alias(c) for c in carried],
+        *[F.col(f"__c.{c}").alias(c) for c in [*found, *carried]],
         *measures,
     )

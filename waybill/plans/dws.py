@@ -116,11 +116,12 @@ def _place(detail: DataFrame, side: str, *more: Column) -> DataFrame:
 def _org_totals(rows: DataFrame, dims: Dims, measures: dict, carried: list[str]) -> DataFrame:
     return daily_totals(
         rows,
-        ["org_id", "org_name"],
+        ["org_id"],
         measures,
         carried=carried,
         resolve=_district_org(dims),
         raw_keys=["district_id"],
+        found=["org_name"],
     )
 
 
