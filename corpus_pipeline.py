@@ -17,6 +17,8 @@ from waybill.llm.queries import letter_pieces
 
 #: A text whose language holds less than this share of the likelihood is rejected.
 LANGUAGE_SCORE = 0.5
+#: Near copies share at least four fifths of their shingles of five words.
+NEAR_SHINGLE, NEAR_LINK = 5, (80, 100)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the Jaccard join, the one with the smallest id."""
     numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    kept = jaccard.groups(numbered).filter("first").select("row")
+    kept = jaccard.groups(numbered, shingle=NEAR_SHINGLE, link=NEAR_LINK).filter("first").select("row")
     return numbered.join(kept, "row", "left_semi").select(docs.columns)
 
 

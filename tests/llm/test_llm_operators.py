@@ -223,6 +223,39 @@ def test_jaccard_components_against_all_pairs(spark, seed):
     assert sum(r["first"] for r in got) == len(full) + sum(not s for s in sets)
 
 
+def test_near_copies_stage_against_all_pairs(spark):
+    import corpus_pipeline
+
+    rnd, texts = random.Random(6), corpus(6)
+    for k in range(30):  # copies with a few changed words: five-word Jaccard about 0.75 to 0.95
+        base = [f"c{k}-{i}" for i in range(100)]
+        texts.append(" ".join(base))
+        for at in rnd.sample(range(5, 95, 6), 1 + k % 3):
+            base[at] = f"n{rnd.random()}"
+        texts.append(" ".join(base))
+    sets = []
+    for t in texts:
+        words = tuple(blank_words(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))
+        sets.append({words[i : i + 5] for i in range(max(1, len(words) - 4))} - {()})
+    label = list(range(len(texts)))
+
+    def root(i):
+        return i if label[i] == i else root(label[i])
+
+    between = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common, union = len(a & sets[j]), len(a | sets[j])
+            if a and sets[j] and 100 * common >= 80 * union:
+                between += 100 * common < 90 * union
+                low, high = sorted((root(i), root(j)))
+                label[high] = low
+    assert between >= 10
+    docs = table(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
+    kept = [r.doc_id for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()]
+    assert sorted(kept) == [i for i, s in enumerate(sets) if root(i) == i or not s]
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert jaccard.groups(table(spark, []).withColumn("row", F.lit(1))).count() == 0
 

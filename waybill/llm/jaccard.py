@@ -28,6 +28,7 @@ execution splits their hot keys.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,9 @@ from pyspark.sql import functions as F
 from waybill.llm.common import chunks, flat_text, lists, written
 from waybill.llm.graph import components
 
+#: Words of a shingle, unless the caller says otherwise.
 SHINGLE = 3
-#: Two documents link when LINK[1] * intersection >= LINK[0] * union.
+#: Two documents link when LINK[1] * intersection >= LINK[0] * union, unless the caller says otherwise.
 LINK = (90, 100)
 #: Groups of the points that trees are built over.
 GROUPS = 32
@@ -80,16 +82,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     return hashes[words.indices.to_numpy(zero_copy_only=False)], np.searchsorted(starts, offsets)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where each text's begin."""
     words, first = word_hashes(data, offsets, lower=True)
     sizes = np.diff(first)
-    width = np.minimum(sizes, SHINGLE)
+    width = np.minimum(sizes, shingle)
     many = np.where(sizes > 0, sizes - width + 1, 0)
     row = np.repeat(np.arange(len(sizes)), many)
     at = np.arange(len(row)) - (np.cumsum(many) - many)[row] + first[:-1][row]
     hashes = _mixed(width[row].astype(np.uint64), 0)
-    for i in range(SHINGLE):
+    for i in range(shingle):
         some = width[row] > i
         hashes[some] = _mixed(hashes[some] ^ _mixed(words[at[some] + i], i + 1), 9)
     order = np.lexsort((hashes, row))
@@ -107,10 +109,10 @@ def _bands(most: int) -> np.ndarray:
     return np.array(edges)
 
 
-def _cells(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _cells(hashes: np.ndarray, first: np.ndarray, link: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Cells of each set, and where each set's begin."""
     sizes = np.diff(first)
-    low, high = LINK
+    low, high = link
     edges = _bands(int(sizes.max(initial=1)))
     band = np.searchsorted(edges, sizes, "right") - 1
     parts = []
@@ -144,11 +146,11 @@ FEATURES = (
 )
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in chunks(batches):
         data, offsets = flat_text(batch.column("text"))
-        hashes, first = shingle_sets(data, offsets)
+        hashes, first = shingle_sets(data, offsets, shingle)
         sizes, n = np.diff(first), batch.num_rows
         row = np.repeat(np.arange(n), sizes)
         keys = []
@@ -158,7 +160,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(pa.array(key.view(np.int64), mask=sizes == 0))
         group = (_mixed(hashes, 12) % np.uint64(GROUPS)).astype(np.int64)
         points = np.bincount(row * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
-        cells, cut = _cells(hashes, first)
+        cells, cut = _cells(hashes, first, link)
         raw = data.tobytes()
         yield pa.RecordBatch.from_arrays(
             [
@@ -198,7 +200,8 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class CountTree:
     """A packed tree over points, with the largest counts and the smallest size below each node."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, link: tuple[int, int] = LINK):
+        self.link = link
         size = points.sum(axis=1)
         self.order = np.lexsort((*points.T[:3], size))
         self.points = points[self.order]
@@ -222,10 +225,9 @@ class CountTree:
         apart = a < b
         return self.order[a[apart]], self.order[b[apart]]
 
-    @staticmethod
-    def _may(tops, least, a, b) -> np.ndarray:
+    def _may(self, tops, least, a, b) -> np.ndarray:
         common = np.minimum(tops[a], tops[b]).sum(axis=1)
-        return sum(LINK) * common >= LINK[0] * (least[a] + least[b])
+        return sum(self.link) * common >= self.link[0] * (least[a] + least[b])
 
     @staticmethod
     def _children(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,16 +237,16 @@ class CountTree:
         return first[fine], second[fine]
 
 
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bounded(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs whose group counts allow the threshold."""
     for batch in batches:
         points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int32).reshape(-1, GROUPS) for c in ("pa", "pb")]
         common = np.minimum(*points).sum(axis=1)
-        fine = sum(LINK) * common >= LINK[0] * (points[0].sum(axis=1) + points[1].sum(axis=1))
+        fine = sum(link) * common >= link[0] * (points[0].sum(axis=1) + points[1].sum(axis=1))
         yield batch.select(["a", "b"]).filter(pa.array(fine))
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by tile: pairs of different components that may reach the threshold."""
     held: list[pa.RecordBatch] = []
 
@@ -253,7 +255,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows.num_rows > 1:
             points = np.frombuffer(b"".join(rows["points"].to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
             node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
-            a, b = CountTree(points).pairs()
+            a, b = CountTree(points, link).pairs()
             apart = comp[a] != comp[b]
             a, b = node[a[apart]], node[b[apart]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -272,7 +274,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs()
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs of packed texts whose sets link."""
     unpack = zstandard.ZstdDecompressor()
     held: dict[int, np.ndarray] = {}
@@ -282,7 +284,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(held) > 256:
                 held.clear()
             data = np.frombuffer(unpack.decompress(packed), dtype=np.uint8)
-            held[node] = shingle_sets(data, np.array([0, len(data)]))[0]
+            held[node] = shingle_sets(data, np.array([0, len(data)]), shingle)[0]
         return held[node]
 
     for batch in batches:
@@ -290,7 +292,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "xa", "xb")), strict=True):
             one, other = sets(a, x), sets(b, y)
             common = len(np.intersect1d(one, other, assume_unique=True))
-            fine.append(LINK[1] * common >= LINK[0] * (len(one) + len(other) - common))
+            fine.append(link[1] * common >= link[0] * (len(one) + len(other) - common))
         yield batch.select(["a", "b"]).filter(pa.array(fine, type=pa.bool_()))
 
 
@@ -300,23 +302,33 @@ def _paired(pairs: DataFrame, nodes: DataFrame, column: str, names: tuple[str, s
     return pairs
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, link: tuple[int, int]) -> DataFrame:
     """The pairs that link, each with its smaller node first."""
-    bounded = _paired(pairs, nodes, "points", ("pa", "pb")).mapInArrow(_bounded, "a long, b long")
+    bounded = _paired(pairs, nodes, "points", ("pa", "pb")).mapInArrow(partial(_bounded, link=link), "a long, b long")
     near = _paired(bounded, texts, "packed", ("xa", "xb"))
-    return written(near.mapInArrow(_verified, "a long, b long"), "links")
+    return written(near.mapInArrow(partial(_verified, shingle=shingle, link=link), "a long, b long"), "links")
 
 
-def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def groups(
+    docs: DataFrame,
+    row: str = "row",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    link: tuple[int, int] = LINK,
+) -> DataFrame:
     """``row, doc_id, n_shingles, component_id, first`` of every row.
 
     ``row`` numbers the rows, each with a number of its own. ``first`` marks one row of each
-    component, one that has the component's id.
+    component, one that has the component's id. Shingles have ``shingle`` words, and two sets
+    link when ``link[1]`` * intersection >= ``link[0]`` * union.
     """
+    if shingle < 1 or not 0 < link[0] <= link[1] <= BAND * link[0]:
+        raise ValueError(f"sets that link must be of neighbouring bands: shingle {shingle}, link {link}")
     rows = docs.select(
         F.col(row).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    features = written(rows.mapInArrow(_features, FEATURES), "features")
+    features = written(rows.mapInArrow(partial(_features, shingle=shingle, link=link), FEATURES), "features")
     full = features.filter("n_shingles > 0")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     nodes = written(
@@ -340,7 +352,7 @@ def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
     ends = members.select(F.col("node").alias("row")).distinct().hint("merge")
     texts = features.select("row", "packed").join(ends, "row", "left_semi")
     texts = written(texts.withColumnRenamed("row", "node"), "texts")
-    links = _links(stars, nodes, texts)
+    links = _links(stars, nodes, texts, shingle, link)
     labels = components(links)
     known = members.join(labels.hint("merge"), "node", "left").select(
         "cell", "node", F.coalesce("label", "node").alias("comp")
@@ -359,12 +371,12 @@ def groups(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
         tiled.select("cell", "i", "j", "node", "comp", "points")
         .repartition("cell", "i", "j")
         .sortWithinPartitions("cell", "i", "j")
-        .mapInArrow(_listed, "a long, b long")
+        .mapInArrow(partial(_listed, link=link), "a long, b long")
         .distinct()
     )
     more = written(listed.join(stars.hint("merge"), ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
-        labels = components(links.unionByName(_links(more, nodes, texts)))
+        labels = components(links.unionByName(_links(more, nodes, texts, shingle, link)))
     named = nodes.join(labels.hint("merge"), "node", "left").select("k1", "k2", "best", F.coalesce("label", "node").alias("comp"))
     named = written(named, "named")
     least = named.groupBy("comp").agg(F.min("best").alias("comp_best"))
