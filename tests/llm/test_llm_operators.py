@@ -187,6 +187,24 @@ def test_licenses(spark):
     assert licenses.scan(table(spark, [])).count() == 0
 
 
+def test_license_texts_have_their_own_label_only(spark):
+    around = " ".join(f"w{i}" for i in range(30))
+    names = sorted(licenses.TEXTS)
+    texts = [licenses.TEXTS[n] for n in names] + [f"{around} {licenses.TEXTS[n]} {around}" for n in names]
+    want = names * 2
+    for a, b in (("cc-by", "cc-by-nc"), ("cc-by-nc", "cc-by"), ("mit", "isc")):  # two notices, one after the other
+        texts.append(f"{licenses.TEXTS[a]} {licenses.TEXTS[b]}")
+        want.append(",".join(sorted([a, b])))
+    for n in ("cc-by", "cc-by-nc"):  # without the address
+        texts.append(licenses.TEXTS[n].split(" http")[0])
+        want.append(n)
+    texts.append(licenses.TEXTS["cc-by"] + " CC BY-NC")  # a phrase stays whatever is beside it
+    want.append("cc-by,cc-by-nc")
+    got = {r.doc_id: r for r in licenses.scan(table(spark, texts)).collect()}
+    assert [got[i].labels for i in range(len(texts))] == want
+    assert all({s.label for s in r.spans} == set(r.labels.split(",")) for r in got.values())
+
+
 def shingles(text):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = tuple(blank_words(lower))

@@ -8,6 +8,10 @@ template's common words cost a document one row each at most. Neighbouring diago
 and a merged span counts if the longest chain of matches that go forward in both texts covers
 enough of the template. A second hash of each match is compared after the join.
 
+Templates share passages, so one text may cover enough of several. A place in the document
+counts for one label only, that of the span of largest coverage there; a span of another label
+stays if the places left to it still cover enough of its template.
+
 A phrase is a template that must match whole: all votes of its diagonal. Words are runs of
 ASCII letters and digits and of all other characters beyond ASCII, with A-Z lower-cased.
 
@@ -179,8 +183,8 @@ def _chain(matches: list[tuple[int, int]]) -> int:
     return len(tails)
 
 
-def _spans(diagonals: list[dict], size: int, share: float, slack: int) -> list[tuple[int, int, float]]:
-    """Verified spans of one template: first and last word, and the share that matches."""
+def _spans(diagonals: list[dict], size: int, share: float, slack: int) -> list[tuple[list[tuple[int, int]], float]]:
+    """Verified spans of one template: matches by place in document and template, and the share covered."""
     found, group = [], []
     for d in sorted(diagonals, key=lambda d: d["diagonal"]) + [None]:
         if group and (d is None or d["diagonal"] - group[-1]["diagonal"] > slack):
@@ -188,12 +192,26 @@ def _spans(diagonals: list[dict], size: int, share: float, slack: int) -> list[t
                 matches = [(x["diagonal"] + at, at) for x in group for at in x["at"]]
                 covered = _chain(matches) / size
                 if covered >= share:
-                    found.append((min(matches)[0], max(matches)[0] + GRAM - 1, covered))
+                    found.append((matches, covered))
             group = []
         group.append(d)
     return found
 
 
+def _told_apart(spans: list[tuple[str, int, list[tuple[int, int]], float]], share: float) -> list[dict]:
+    """Of spans with label and template size: those that cover enough without the places of better ones."""
+    taken: dict[int, str] = {}
+    kept = []
+    for label, size, matches, covered in sorted(spans, key=lambda s: (-s[3], -s[1], s[0], min(s[2]))):
+        own = [m for m in matches if taken.get(m[0], label) == label]
+        if len(own) < len(matches) and _chain(own) < share * size:
+            continue
+        for place, _ in own:
+            taken[place] = label
+        kept.append({"label": label, "first": min(matches)[0], "last": max(matches)[0] + GRAM - 1, "covered": covered})
+    return kept
+
+
 RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
     "score double, spans array<struct<label:string,first:int,last:int,covered:double>>"
@@ -258,18 +276,18 @@ def _document(doc_id, n_words, votes, templates, sizes, share, slack) -> dict:
     by_template: dict[int, list[dict]] = {}
     for v in votes:
         by_template.setdefault(v["template"], []).append(v)
-    base, labels, places, spans = set(), set(), [], []
+    base, places, spans, texts = set(), [], [], []
     for number, diagonals in sorted(by_template.items()):
         template, size = templates[number], sizes[number]
         if template.whole:
             whole = sorted(d["diagonal"] for d in diagonals if len(d["at"]) == size)
             places += whole
-            found = [(a, a + size + GRAM - 2, 1.0) for a in whole]
+            spans += [{"label": template.label, "first": a, "last": a + size + GRAM - 2, "covered": 1.0} for a in whole]
             base |= {template.label} if whole else set()
         else:
-            found = _spans(diagonals, size, share, slack)
-        labels |= {template.label} if found else set()
-        spans += [{"label": template.label, "first": a, "last": b, "covered": c} for a, b, c in found]
+            texts += [(template.label, size, *found) for found in _spans(diagonals, size, share, slack)]
+    spans += _told_apart(texts, share)
+    labels = {s["label"] for s in spans}
     return {
         "doc_id": doc_id,
         "n_words": n_words,
