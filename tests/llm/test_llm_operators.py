@@ -370,6 +370,20 @@ def test_equal_windows_get_equal_symbols():
         assert known.setdefault(tuple(words[s : s + 13].tolist()), (k, d)) == (k, d)
 
 
+def test_windows_are_compared_on_all_bits():
+    rng = np.random.default_rng(9)
+    digest = rng.integers(0, 1 << 64, 64, dtype=np.uint64)
+    for bit in range(64):  # a digest and the same one but for a bit, at one symbol
+        digest[bit] = digest[0] ^ np.uint64(1 << bit) if bit else digest[0]
+    key, row, start = np.full(64, 7, dtype=np.uint64), np.arange(64), np.zeros(64, dtype=np.int64)
+    opened = repeats._opened([repeats._parcel(key, row, row, start, digest)])
+    assert all((a == b).all() for a, b in zip(opened, (key, row, row, start, digest)))
+    assert (repeats._earliest(opened[0], opened[4], opened[2]) == row).all()
+    assert (repeats._earliest(digest, key, row) == row).all()
+    words = rng.integers(0, 1 << 64, 2000, dtype=np.uint64)
+    assert repeats.window_keys(words, np.array([0, 2000]))[2].max() >= 1 << 63
+
+
 def found_by_rules(text):
     rules = [
         (r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),

@@ -10,8 +10,8 @@ these words stand, there is the symbol.
 Every window of words is given a symbol whose context lies inside it, of several that of the
 largest digest, so equal windows have equal symbols whatever stands around them, and neighbouring
 windows mostly have the same one. The few windows without any are their own key. Windows that
-meet at a shared symbol are verified by digests of all their words, and a window that an
-earlier document has too is marked. The words under marked windows go.
+meet at a shared symbol are verified by 64-bit digests of all their words beside the symbol's own
+64 bits, all of them compared, and a window that an earlier document has too is marked. The words under marked windows go.
 
 Words are runs of characters other than the six ASCII white ones, unchanged. Null text has no
 words; a document shorter than a window loses nothing. Documents of equal ids, repeated rows
@@ -36,8 +36,6 @@ from waybill.llm.common import chunks, flat_text, ranges, written
 from waybill.llm.jaccard import _mixed, word_hashes
 
 WINDOW, ROUNDS = 13, 2
-#: Bytes of a window's digest beside its symbol.
-DIGEST = 5
 _FAR = 1 << 40
 _NO_ID = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -131,7 +129,7 @@ def window_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
             np.maximum.at(key, begin[some] + step, order[some])
     own = starts[key[starts] == 0]
     key[own] = digest(own, own + WINDOW, 52)
-    return starts, key[starts], digest(starts, starts + WINDOW, 53) >> np.uint64(64 - 8 * DIGEST)
+    return starts, key[starts], digest(starts, starts + WINDOW, 53)
 
 
 PACKED = "row long, doc_id long, n_words long, packed binary"
@@ -166,12 +164,12 @@ def _unpacked(batches: Iterator[pa.RecordBatch], step: int = 1024) -> Iterator[t
 
 
 def _earliest(key: np.ndarray, digest: np.ndarray, id_: np.ndarray) -> np.ndarray:
-    """For each window, the smallest id among equal ones."""
+    """For each window, the smallest id among those of equal key and equal digest."""
     if not len(key):
         return id_
-    both = _mixed(key ^ _mixed(digest, 54), 55)
-    order = np.argsort(both, kind="stable")
-    fresh = np.append(True, both[order][1:] != both[order][:-1])
+    order = np.lexsort((key, digest))
+    one, other = key[order], digest[order]
+    fresh = np.append(True, (one[1:] != one[:-1]) | (other[1:] != other[:-1]))
     least = np.minimum.reduceat(id_[order], np.flatnonzero(fresh))
     result = np.empty_like(id_)
     result[order] = least[np.cumsum(fresh) - 1]
@@ -193,10 +191,9 @@ def _parcel(key, row, id_, start, digest) -> bytes:
     head = np.concatenate(
         [row[begin], id_[begin], start[begin], size]
     ).astype(np.int64)
-    octets = np.ascontiguousarray(digest[:, None].view(np.uint8)[:, :DIGEST]).tobytes()
     front = zstandard.ZstdCompressor(level=1).compress(head.tobytes())
     return b"".join(
-        [np.array([len(begin), len(front)], dtype=np.int64).tobytes(), front, key[begin].tobytes(), octets]
+        [np.array([len(begin), len(front)], dtype=np.int64).tobytes(), front, key[begin].tobytes(), digest.tobytes()]
     )
 
 
@@ -208,10 +205,9 @@ def _opened(parcels: list[bytes]) -> tuple[np.ndarray, ...]:
         head = zstandard.ZstdDecompressor().decompress(parcel[16 : 16 + front])
         row, id_, start, size = np.frombuffer(head, dtype=np.int64).reshape(4, n)
         key = np.frombuffer(parcel, dtype=np.uint64, count=n, offset=16 + front)
-        octets = np.zeros((int(size.sum()), 8), dtype=np.uint8)
-        octets[:, :DIGEST] = np.frombuffer(parcel, dtype=np.uint8, offset=16 + front + 8 * n).reshape(-1, DIGEST)
+        digest = np.frombuffer(parcel, dtype=np.uint64, offset=16 + front + 8 * n)
         each = [np.repeat(x, size) for x in (key, row, id_)]
-        parts.append((*each, ranges(start, size), octets.view(np.uint64).ravel()))
+        parts.append((*each, ranges(start, size), digest))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
