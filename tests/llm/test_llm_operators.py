@@ -370,6 +370,34 @@ def test_equal_windows_get_equal_symbols():
         assert known.setdefault(tuple(words[s : s + 13].tolist()), (k, d)) == (k, d)
 
 
+def test_repeats_with_a_phrase_in_all_documents(spark):
+    import pyarrow as pa
+
+    rnd = random.Random(10)
+    texts = []
+    for i in range(600):  # one phrase with other words around it, and some documents copied
+        around = [f"w{rnd.random()}" for _ in range(10)]
+        texts.append(" ".join(around[:5] + "all of these rights are kept by us".split() + around[5:]))
+    texts[500:520] = texts[:20]
+    rows = table(spark, texts).drop("row").withColumn("row", F.monotonically_increasing_id())
+    packed = rows.select(F.col("row"), "doc_id", "text").mapInArrow(repeats._pack, repeats.PACKED)
+    hot = repeats._hot_symbols(packed, 300, 1)
+    assert 1 <= len(hot) <= 4
+    table_ = packed.toArrow().combine_chunks()
+    parts = [0] * 64
+    for sent in repeats._meeting(64, hot)(iter(table_.to_batches())):
+        for bucket, parcel in zip(sent.column("bucket").to_pylist(), sent.column("parcel").to_pylist()):
+            if bucket >= 0:
+                parts[bucket] += len(repeats._opened([parcel])[0])
+    assert sum(parts) >= 580 * 6 and max(parts) <= 3 * sum(parts) / 64
+    for settings in ({}, {"bucket_words": 100, "hot": 300, "sample": 1}, {"bucket_words": 100, "hot": 1}):
+        got = {r.doc_id: r for r in repeats.remove(rows, **settings).collect()}
+        assert len(got) == 600
+        for i, text in enumerate(texts):
+            copied = 500 <= i < 520
+            assert (got[i].n_removed, got[i].kept) == ((18, "") if copied else (0, text))
+
+
 def test_windows_are_compared_on_all_bits():
     rng = np.random.default_rng(9)
     digest = rng.integers(0, 1 << 64, 64, dtype=np.uint64)

@@ -20,6 +20,10 @@ among them, are not earlier than each other; a null id is later than all others.
 Symbols are dealt to buckets, whose number follows the corpus, and the windows that a batch has
 for a bucket travel as one packed row. A passage that very many documents share is combined
 before that: a document goes on only for windows of which it is the earliest in its batch.
+A phrase shorter than a window, with other words around it in very many documents, gives distinct
+windows of one symbol. Symbols of so many windows are found first, by counts over a sample of the
+documents, and their windows are dealt by digest: equal windows still meet, whichever symbols
+are taken for such, so the sample only decides how evenly the work is dealt.
 """
 
 from __future__ import annotations
@@ -135,6 +139,8 @@ def window_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 PACKED = "row long, doc_id long, n_words long, packed binary"
 #: Words of the corpus for each bucket that windows are dealt to by symbol.
 BUCKET_WORDS = 1 << 18
+#: A symbol of as many windows is dealt by their digests; one of so many documents is counted for that.
+HOT, SAMPLE = 1 << 19, 16
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,23 +217,48 @@ def _opened(parcels: list[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _meeting(buckets: int):
-    """Windows dealt by symbol; those that an earlier document of the batch has are marked at once."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows of each batch: key, row, id, start, digest, and whether an earlier document of the batch has it."""
+    for part, raw in _unpacked(batches):
+        words, first = word_hashes(*flat_text(raw), lower=False)
+        starts, key, digest = window_keys(words, first)
+        text = np.searchsorted(first, starts, "right") - 1
+        row = part.column("row").to_numpy()[text]
+        id_ = part.column("doc_id").fill_null(_NO_ID).to_numpy()[text]
+        yield key, row, id_, starts - first[text], digest, id_ > _earliest(key, digest, id_)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Symbols of each batch with their numbers of windows that go on."""
+    for key, _, _, _, _, marked in _windows(batches):
+        symbol, n = np.unique(key[~marked], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(symbol.view(np.int64)), pa.array(n)], names=["symbol", "windows"])
+
+
+def _hot_symbols(packed: DataFrame, hot: int, sample: int) -> np.ndarray:
+    """Symbols of ``hot`` windows or more, ascending; documents as long as that are all counted."""
+    long = F.col("n_words") >= hot
+    chosen = F.pmod(F.xxhash64("row"), F.lit(sample)) == 0
+    whole = packed.filter(long).mapInArrow(_counted, "symbol long, windows long")
+    part = packed.filter(~long & chosen & (F.col("n_words") >= WINDOW)).mapInArrow(_counted, "symbol long, windows long")
+    counts = whole.unionByName(part.withColumn("windows", F.col("windows") * sample))
+    sums = counts.groupBy("symbol").agg(F.sum("windows").alias("windows"))
+    # a bounded table: as many rows as the corpus has times ``hot`` windows, at most
+    found = sums.filter(F.col("windows") >= hot).select("symbol").toArrow()["symbol"].to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
+
+
+def _meeting(buckets: int, hot: np.ndarray):
+    """Windows dealt by symbol, those of hot ones by digest too; those that an earlier document of the batch has are marked at once."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in _unpacked(batches):
-            words, first = word_hashes(*flat_text(raw), lower=False)
-            starts, key, digest = window_keys(words, first)
-            text = np.searchsorted(first, starts, "right") - 1
-            row = part.column("row").to_numpy()[text]
-            id_ = part.column("doc_id").fill_null(_NO_ID).to_numpy()[text]
-            start = starts - first[text]
-            marked = id_ > _earliest(key, digest, id_)
+        for key, row, id_, start, digest, marked in _windows(batches):
             if marked.any():
                 bucket = int(row[0]) % buckets
                 yield _sent([-1 - bucket], [_marks(row[marked], start[marked])])
             go = np.flatnonzero(~marked)
-            bucket = (_mixed(key[go], 56) % np.uint64(buckets)).astype(np.int64)
+            deal = np.where(np.isin(key[go], hot), _joined(key[go], digest[go], 57), key[go])
+            bucket = (_mixed(deal, 56) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             go, bucket = go[order], bucket[order]
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(go)])
@@ -305,7 +336,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove(
+    docs: DataFrame,
+    row: str = "row",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    bucket_words: int = BUCKET_WORDS,
+    hot: int = HOT,
+    sample: int = SAMPLE,
+) -> DataFrame:
     """``row, doc_id, n_words, n_removed, kept`` of every row; ``kept`` is the words left, joined by a space.
 
     ``row`` numbers the rows, each with a number of its own.
@@ -315,8 +354,9 @@ def remove(docs: DataFrame, row: str = "row", doc_id: str = "doc_id", text: str
     )
     packed = written(rows.mapInArrow(_pack, PACKED), "packed-texts")
     total = packed.agg(F.sum("n_words")).first()[0] or 0
+    symbols = _hot_symbols(packed, hot, sample) if total >= hot else np.zeros(0, dtype=np.uint64)
     met = packed.filter(F.col("n_words") >= WINDOW).mapInArrow(
-        _meeting(1 + total // BUCKET_WORDS), "bucket long, parcel binary"
+        _meeting(1 + total // bucket_words, symbols), "bucket long, parcel binary"
     )
     marks = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _compare, "row long, start int, windows int"
