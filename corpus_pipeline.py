@@ -51,10 +51,16 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, of which the text can be decoded again."""
+    """Token ids of every document, and a digest of the bytes that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks)
-    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks).drop("text")
+    return bpe.decode(coded, ranks).select(
+        "doc_id",
+        "source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [

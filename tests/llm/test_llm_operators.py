@@ -77,6 +77,16 @@ def test_bpe_of_an_empty_table(spark, ranks):
     assert bpe.decode(bpe.encode(table(spark, []), ranks), ranks).count() == 0
 
 
+def test_tokens_stage_decodes(spark):
+    import hashlib
+
+    import corpus_pipeline
+
+    texts = [None, "", "é 中文 😀 \r\n x\x00", *tricky(3, 50), *corpus()[:20]]
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.tokens(spark, table(spark, texts), "").collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+
+
 def test_prefix_counts_are_the_librarys(spark):
     import sentencepiece
 
