@@ -149,6 +149,30 @@ def test_language_by_all_segmentations(spark):
         assert np.allclose(got, np.log(total[-1]))
 
 
+def test_language_of_long_runs_by_all_segmentations():
+    import pyarrow as pa
+
+    from waybill.llm.queries import letter_pieces
+
+    pieces = language.Pieces(letter_pieces())
+    rng, rnd = np.random.default_rng(1), random.Random(1)
+    chances = rng.random((pieces.size, 2)) ** 4
+    model = language.Model(pieces, ["a", "b"], chances / chances.sum(axis=0))
+    of = dict(_spelled(pieces))
+    parts = ["house", "garten", "straße", "the", "und", "中文", "xq", "ation"]
+    texts = ["".join(rnd.choice(parts) for _ in range(n)) for n in (1, 8, 12, 13, 40, 300)] + ["x"]
+    texts += [texts[-2][:n] for n in (31, 32, 33, 47, 48, 49, 63, 64, 65, 1000)]
+    words = language.Words(pieces, pa.array([" ".join(texts)]))
+    with np.errstate(divide="ignore"):
+        for text, got in zip(texts, model.word_logs(words)[words.word], strict=True):
+            coded = [int(pieces.letter[ord(c)]) for c in "▁" + text]
+            total = [np.zeros(2)]
+            for i in range(1, len(coded) + 1):
+                ways = [(total[j], of.get(tuple(coded[j:i]))) for j in range(max(0, i - pieces.trie.longest), i)]
+                total.append(np.logaddexp.reduce([t + np.log(model.chances[p]) for t, p in ways if p is not None]))
+            assert np.allclose(got, total[-1], rtol=1e-10)
+
+
 def _spelled(pieces):
     """All pieces with their letters, read off the trie."""
     table_, ends = pieces.trie.step, pieces.trie.ends

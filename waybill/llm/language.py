@@ -31,10 +31,10 @@ from waybill.llm.common import chunks, flat_text
 from waybill.llm.tables import Trie
 
 UNKNOWN = "und"
-#: A longer word is scored in parts of as many letters.
-WORD_LETTERS = 48
-#: Each letter's probability is scaled by this, so that words stay within a double's range.
+#: Each letter's probability is scaled by this, so that short words stay within a double's range.
 SCALE = 1000.0
+#: After as many letters, or as many as the longest piece has, a word's running values are rescaled.
+RESCALE = 32
 #: Languages that a model may hold; its size is that of the vocabulary times this.
 MOST_LANGUAGES = 256
 MARK = "▁"
@@ -97,14 +97,9 @@ class Words:
         head = np.flatnonzero((flat & 0xC0) != 0x80)
         points = np.frombuffer(flat.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
         starts = np.searchsorted(head, cuts)
-        part = [np.arange(a, b, WORD_LETTERS) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        self.owner = np.repeat(np.arange(len(part)), [len(p) for p in part])
-        begin = np.concatenate(part) if part else np.zeros(0, dtype=np.int64)
-        size = np.minimum(starts[1:][self.owner] - begin, WORD_LETTERS) if len(begin) else begin
-        leads = begin == starts[:-1][self.owner] if len(begin) else begin.astype(bool)
-        at = begin + np.cumsum(leads) - 1
         self.letters = np.insert(pieces.letter[points], starts[:-1], pieces.letter[ord(MARK)]).astype(np.int64)
-        self.start, self.size = np.where(leads, at, at + 1), size + leads
+        self.owner = np.arange(len(starts) - 1)
+        self.start, self.size = starts[:-1] + self.owner, np.diff(starts) + 1
         order = np.argsort(-self.size, kind="stable")
         self.start, self.size, self.owner = self.start[order], self.size[order], self.owner[order]
 
@@ -138,10 +133,22 @@ class Model:
     def word_logs(self, words: Words) -> np.ndarray:
         """Log probability of each distinct word in each language."""
         forward = np.zeros((len(words.letters), len(self.languages)))
+        scaled = np.zeros((len(words.size), len(self.languages)))
+        step, last = max(RESCALE, self.pieces.trie.longest), 0
         for i, _, at, size, piece in self.pieces.places(words.letters, words.start, words.size):
+            if i > last and i % step == 0:
+                # the values that the words' next letters still read
+                word = np.arange(np.searchsorted(-words.size, -i))
+                read = words.start[word][:, None] + i - 1 - np.arange(self.pieces.trie.longest)
+                most = forward[read].max(axis=1)
+                most[most == 0] = 1
+                forward[read] /= most[:, None]
+                scaled[word] += np.log(most)
+            last = i
             share = self.chances[piece] * SCALE**size
             forward[at] += share * forward[at - size] if size <= i else share
         part = np.log(np.maximum(forward[words.start + words.size - 1], 1e-300)) - np.log(SCALE) * words.size[:, None]
+        part += scaled
         logs = np.zeros((int(words.owner.max()) + 1 if len(words.owner) else 0, len(self.languages)))
         np.add.at(logs, words.owner, part)
         return logs
