@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import session
-from waybill.llm import bpe, jaccard, language, licenses, mixing, neighbours, prefix, quality, repeats, secrets
+from waybill.llm import (
+    bpe,
+    jaccard,
+    language,
+    licenses,
+    merkle,
+    mixing,
+    neighbours,
+    phrases,
+    prefix,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+)
 from waybill.llm.common import written
 
 QUERIES, ORACLE = {}, {}
@@ -167,3 +181,111 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of earlier ones."""
     docs = documents(spark, sf_dir, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     return repeats.remove(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and its component among those that differ in two bits at most."""
+    return simhash.groups(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, tops and proof of every document, and the root that a tampered copy folds to."""
+    return merkle.manifest(documents(spark, sf_dir, *merkle.FIELDS))
+
+
+ORACLE["op12_merkle_manifest"] = r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+drawn AS (
+  SELECT d.*, coalesce(xor(list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 5 = 0, false) AS drawn
+  FROM documents d, crc_table),
+texts AS (
+  SELECT *, CASE WHEN drawn THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    ELSE text END AS changed FROM drawn),
+heads AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM texts),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS start FROM heads),
+placed AS (
+  SELECT *, (dense_rank() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS tree,
+    (row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS pos,
+    count(*) OVER (PARTITION BY source) AS n FROM leaves),
+levels AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS hash FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM levels WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+uppers AS (
+  SELECT -1::BIGINT AS tree, 0 AS level, tree AS pos, count(*) OVER () AS n, hash FROM levels WHERE n = 1
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM uppers WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+kids AS (
+  SELECT tree, level + 1 AS level, pos // 16 AS pos, (n + 15) // 16 AS n, string_agg(hash, '' ORDER BY pos) AS kids
+  FROM (FROM levels UNION ALL FROM uppers) WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+climb AS (
+  SELECT tree AS own, pos AS place, tree, 0 AS level, pos, n, start AS fold, '' AS path FROM placed
+  UNION ALL
+  SELECT c.own, c.place, k.tree, k.level, k.pos, k.n,
+    sha256(substr(k.kids, 1, (64 * (c.pos % 16))::INT) || c.fold || substr(k.kids, (64 * (c.pos % 16) + 65)::INT)),
+    c.path || substr(k.kids, 1, (64 * (c.pos % 16))::INT) || substr(k.kids, (64 * (c.pos % 16) + 65)::INT)
+  FROM (
+    SELECT * FROM climb WHERE n > 1
+    UNION ALL
+    SELECT own, place, -1, 0, tree, 2, fold, path FROM climb WHERE n = 1 AND tree >= 0) c
+  JOIN kids k ON k.tree = c.tree AND k.level = c.level + 1 AND k.pos = c.pos // 16),
+root AS (SELECT hash AS root FROM uppers WHERE n = 1),
+ended AS (
+  SELECT c.*, root FROM climb c, root WHERE n = 1 AND (tree = -1 OR (SELECT max(n) FROM uppers) = 1))
+SELECT p.doc_id, p.leaf, l.hash AS subroot, e.root, sha256(e.path) AS proof_sha256, e.fold AS folded_root,
+  e.fold = e.root AS verified
+FROM placed p
+JOIN ended e ON e.own = p.tree AND e.place = p.pos
+JOIN (SELECT tree, hash FROM levels WHERE n = 1) l ON l.tree = p.tree
+"""
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language that hold together best."""
+    return phrases.collocations(documents(spark, sf_dir, "lang", "text"))
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k, array_to_string(unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])), ' ') AS phrase
+  FROM pieces, (SELECT unnest([1, 2, 3, 4])::INT AS k)),
+counted AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, w, f AS a FROM counted WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, x.f AS l, y.f AS r, place,
+    (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS place FROM candidates) c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:place], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[place + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+parts AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS i
+    FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates WHERE k > 2))),
+covered AS (SELECT lang, phrase, max(longer) AS longer FROM parts GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN covered c USING (lang, phrase)
+  WHERE c.longer IS NULL OR 100::HUGEINT * c.longer < 80::HUGEINT * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
