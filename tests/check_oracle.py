@@ -54,7 +54,7 @@ def compare(spark, con, query, sql, sf_dir) -> str | None:
         (n, kinds[n], other[n])
         for n in kinds
         if (kinds[n], other[n])
-        not in {("string", "VARCHAR"), ("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE")}
+        not in {("string", "VARCHAR"), ("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE"), ("boolean", "BOOLEAN")}
     ]
     return f"types {odd}" if odd else None
 
