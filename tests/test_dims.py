@@ -31,7 +31,7 @@ def org(id, name, at, op="u", **more):
 
 
 def test_upsert_keeps_the_newest_row_per_key(spark, tmp_path):
-    tables, cfg = DimTables(spark, str(tmp_path)), config(spark, ORG, DRIVER)
+    tables, cfg = DimTables(spark, str(tmp_path), retain_seconds=0), config(spark, ORG, DRIVER)
     first = changes(
         spark,
         org("1", "old", 1, "r"),

@@ -375,6 +375,23 @@ FROM t""",
 }
 
 BORN = "TIMESTAMP '2024-01-01' + to_seconds((l_orderkey * 1733) % 2592000)"
+
+
+def live_per_org(count: str) -> str:
+    """Placed orders per organisation and day, with city and province names."""
+    return f"""
+WITH {SENDERS},{ORG},{REGION},
+placed AS (SELECT DISTINCT l_orderkey, {BORN} AS ts FROM lineitem),
+totals AS (
+  SELECT {day('ts')} AS cur_date, d.org_id, d.org_name, count(*) AS {count},
+         arg_min(s.city_id, (ts, s.city_id, s.province_id)) AS city_id,
+         arg_min(s.province_id, (ts, s.city_id, s.province_id)) AS province_id
+  FROM placed JOIN senders s ON l_orderkey = o_orderkey
+  LEFT JOIN district_org d ON d.region_id = s.district_id GROUP BY 1, 2, 3)
+SELECT t.*, c.name AS city_name, p.name AS province_name
+FROM totals t LEFT JOIN places c ON c.id = t.city_id LEFT JOIN places p ON p.id = t.province_id"""
+
+
 ORACLE |= {
     "stream_day_count": ORACLE["sort_day"],
     "stream_early_results": ORACLE["sort_day"],
@@ -403,4 +420,23 @@ totals AS (
 SELECT t.*, p.name AS city_name FROM totals t LEFT JOIN places p ON p.id = city_id""",
     "stream_order_cargo": f"SELECT * FROM ({ORACLE['order_events']}) WHERE event = 'order'",
     "stream_order_events": ORACLE["order_events"],
+    "dim_tie_upsert": """
+SELECT CAST(l_orderkey AS VARCHAR) AS id, CAST(arg_max(l_partkey, place) AS VARCHAR) AS part,
+       CAST(arg_max(l_linenumber, place) AS VARCHAR) AS line
+FROM (SELECT *, (l_partkey * 7919) % 100003 * 10 + l_linenumber AS place FROM lineitem) GROUP BY l_orderkey""",
+    "stream_lookup_change": """
+SELECT l_orderkey, l_linenumber, l_partkey AS truck_id,
+       CASE WHEN l_orderkey % 2 = 0 THEN CASE WHEN p_partkey % 2 = 1 THEN p_brand END
+            WHEN p_partkey % 2 = 1 AND p_partkey % 3 = 0 THEN 'moved' ELSE p_brand END AS truck_model_id
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+    "stream_org_receive_day": live_per_org("receive_order_count_base"),
+    "stream_org_deliver_day": live_per_org("deliver_suc_count_base"),
+    "stream_truck_model_day": ORACLE["truck_model_finish_day"],
+    "stream_cargo_type_day": f"""
+WITH placed AS (SELECT DISTINCT l_orderkey, {BORN} AS ts FROM lineitem),
+totals AS (
+  SELECT {day('ts')} AS cur_date, l_orderkey % 7 AS type, CAST(count(*) AS DOUBLE) AS order_amount_base,
+         count(*) AS order_count_base FROM placed GROUP BY 1, 2)
+SELECT cur_date, CAST(type AS VARCHAR) AS cargo_type, p_name AS cargo_type_name, order_amount_base, order_count_base
+FROM totals LEFT JOIN part ON p_partkey = type""",
 }

@@ -546,6 +546,26 @@ def dim_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(dim)
 
 
+@query
+def dim_tie_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as changes of one time: the place in the log decides."""
+    dim = DimConfig("order_state", "dim_order_state", "id,part,line")
+    tables = DimTables(spark, session.work_dir(spark, "dim-tie"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.lit("u").alias("op"),
+        F.timestamp_seconds(F.col("l_orderkey") % 3).alias("ts"),
+        F.concat(F.lit("bin.1/"), F.lpad(((F.col("l_partkey") * 7919) % 100003 * 10 + F.col("l_linenumber")).cast("string"), 20, "0")).alias("position"),
+        F.lit("order_state").alias("table"),
+        F.create_map(
+            F.lit("id"), text_of("l_orderkey"),
+            F.lit("part"), text_of("l_partkey"),
+            F.lit("line"), text_of("l_linenumber"),
+        ).alias("after"),
+    )
+    apply_dim_changes(tables, rows, _config(spark, dim), 0)
+    return tables.read(dim)
+
+
 @query
 def lookup_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders to customers by primary key; every row of the left side once."""

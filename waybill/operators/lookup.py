@@ -8,11 +8,18 @@ execution splits skewed keys (the dimension side has one row per key).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+class Changing(Protocol):
+    """A dimension that changes while a stream runs, see ``waybill.streaming.lookups``."""
+
+    def meet(self, facts: DataFrame, on: Mapping[str, str], take: Mapping[str, str], prefer: str = "id") -> DataFrame: ...
+
+
 def one_row_per_key(dim: DataFrame, keys: list[str], take: list[str], prefer: str = "id") -> DataFrame:
     """One row per key. When several match, the one with the smallest ``prefer`` wins."""
     rest = [c for c in dict.fromkeys([prefer, *take]) if c not in keys]
@@ -25,7 +32,7 @@ def one_row_per_key(dim: DataFrame, keys: list[str], take: list[str], prefer: st
 
 def lookup_join(
     df: DataFrame,
-    dim: DataFrame | None,
+    dim: DataFrame | Changing | None,
     on: Mapping[str, str],
     take: Mapping[str, str],
     unique: bool = False,
@@ -34,10 +41,13 @@ def lookup_join(
     """Left join ``dim`` on ``{fact column: dim column}``, taking ``{dim column: new name}``.
 
     ``unique`` says the dim columns are the table's primary key, so nothing has to be
-    reduced. A missing or null key leaves nulls. A name already in ``df`` is replaced.
+    reduced. A missing or null key leaves nulls. A name already in ``df`` is replaced. A
+    dimension that is a stream of changes is met as it is when a row of ``df`` arrives.
     """
     if dim is None:
         raise ValueError(f"no dimension table for {list(on)}: its source is missing from the config")
+    if not isinstance(dim, DataFrame):
+        return dim.meet(df, on, take, prefer)
     if not unique:
         dim = one_row_per_key(dim, list(on.values()), list(take), prefer)
     right = dim.select(

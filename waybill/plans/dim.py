@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from waybill.sources.changelog import live_changes, parse_envelope
+from waybill.sources.changelog import LOG_POSITION, live_changes, parse_envelope
 
 
 def dim_changes(ods: DataFrame) -> DataFrame:
-    """Live changes as ``op, ts, table, after``: what dimensions need of an envelope."""
-    changes = live_changes(parse_envelope(ods.select("value")))
-    return changes.select("op", F.col("ts"), "table", "after")
+    """Live changes as ``op, ts, position, table, after``: what dimensions need of an envelope."""
+    kept = [c for c in ("value", LOG_POSITION) if c in ods.columns]
+    changes = live_changes(parse_envelope(ods.select(kept)))
+    return changes.select("op", "ts", "position", "table", "after")

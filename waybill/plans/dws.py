@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from waybill.functions.timez import processing_millis
 from waybill.operators.daily import ROWS, daily_totals
 from waybill.operators.first import first_per_key, first_per_key_stream
-from waybill.operators.lookup import lookup_join, org_city, region_climb
+from waybill.operators.lookup import Changing, lookup_join, org_city, region_climb
 from waybill.schemas import (
     BOUND_EVENT,
     BOUND_TOPICS,
@@ -32,12 +32,15 @@ DELIVERY_DISORDER = "1 day"
 
 @dataclass(frozen=True)
 class Dims:
-    """The dimension tables lookups go to; a metric needs only some of them."""
+    """The dimension tables lookups go to; a metric needs only some of them.
 
-    organ: DataFrame | None = None
+    Those that a stream looks grouping keys up in may be streams of changes.
+    """
+
+    organ: DataFrame | Changing | None = None
     region: DataFrame | None = None
     dic: DataFrame | None = None
-    truck: DataFrame | None = None
+    truck: DataFrame | Changing | None = None
     truck_model: DataFrame | None = None
 
 
@@ -58,6 +61,11 @@ class Metric:
         """Whether rows are reduced to one per order first."""
         return self.ddl == ORDER_EVENT
 
+    @property
+    def keyed_by_dims(self) -> bool:
+        """Whether grouping keys are looked up, which a stream does before it totals."""
+        return self.totals in (_trade_org_totals, _receive_totals, _deliver_totals, _trip_totals)
+
     @property
     def uses_dims(self) -> bool:
         return self.named is not _unnamed

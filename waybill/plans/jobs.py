@@ -15,7 +15,7 @@ from waybill.plans import dwd, dws, ods
 from waybill.plans.dws import Dims, Metric
 from waybill.schemas import ODS_TOPIC
 from waybill.sources.changelog import read_change_source
-from waybill.sources.dims import read_config, read_dims
+from waybill.sources.dims import live_dims, read_config, read_dims
 from waybill.sources.topics import read_topic
 from waybill.streaming.dims import start_dim_sink
 from waybill.streaming.sinks import write_metric, write_topics
@@ -56,8 +56,12 @@ def _dws(metric: Metric) -> Callable:
 
         values = read_topic(spark, config, metric.topic, metric.table)
         detail = parse_detail(values, wire_ddl(metric))
+        live = Dims()
+        if metric.keyed_by_dims:
+            snapshot = config["lookups"] == "snapshot"
+            live = dims() if snapshot else live_dims(spark, config, config.number("count-salts"))
         options = {"salts": config.number("count-salts")} if metric.counts_orders else {}
-        totals = metric.stream(detail, dims(), **options)
+        totals = metric.stream(detail, live, **options)
         return write_metric(totals, lambda b: metric.finish(b, dims()), config, metric.table)
 
     return run

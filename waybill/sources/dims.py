@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from waybill.config import JobConfig
 from waybill.operators.routing import CONFIG_COLUMNS, DimConfig, config_rows, current_config
 from waybill.plans.dws import Dims
-from waybill.schemas import CONFIG_TABLE
+from waybill.schemas import CONFIG_TABLE, ODS_TOPIC
 from waybill.sources.changelog import parse_envelope, read_changes
+from waybill.sources.topics import read_topic
 from waybill.streaming.dims import DimTables
+from waybill.streaming.lookups import DimChanges
 
 # Which source table fills which part of ``Dims``.
 DIM_SOURCES = {
@@ -34,6 +36,26 @@ def read_config(spark: SparkSession, config: JobConfig) -> DataFrame:
     return spark.read.parquet(config.need("config-path")).select(CONFIG_COLUMNS)
 
 
+def live_dims(spark: SparkSession, config: JobConfig, salts: int = 16) -> Dims:
+    """The dimensions that streams look grouping keys up in, as streams of the operational topic.
+
+    They are read from its start and whole, whatever bounds the facts' micro-batches: the topic
+    must keep the last change of each dimension row.
+    """
+    whole = JobConfig(**{"offset-reset": "earliest"})
+    own = {"topic", "offset-reset", "max-files-per-trigger", "max-bytes-per-trigger"}
+    whole.update({k: v for k, v in config.items() if k not in own})
+    values = read_topic(spark, whole, ODS_TOPIC, "tms_dws_dims")
+    by_source = {c.source_table: c for c in config_rows(read_config(spark, config))}
+    return Dims(
+        **{
+            part: DimChanges.of(values, by_source[DIM_SOURCES[part]], salts)
+            for part in ("organ", "truck")
+            if DIM_SOURCES[part] in by_source
+        }
+    )
+
+
 def read_dims(spark: SparkSession, config: JobConfig) -> Dims:
     """Current dimension tables, one snapshot for all lookups of a run."""
     tables = DimTables(spark, config.need("dim-root"))

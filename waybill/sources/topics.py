@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from waybill.config import JobConfig
 from waybill.schemas import ODS_TOPIC, TOPIC_WRITERS
+from waybill.sources.changelog import LOG_POSITION, topic_position
 
 
 def topic_values(messages: DataFrame) -> DataFrame:
     """Text of each message; empty and missing payloads are skipped."""
-    kept = [c for c in ("table",) if c in messages.columns]
+    kept = [c for c in ("table", LOG_POSITION) if c in messages.columns]
     return messages.select(F.col("value").cast("string").alias("value"), *kept).filter(
         F.col("value").isNotNull() & (F.col("value") != "")
     )
@@ -32,9 +33,8 @@ def read_topic(spark: SparkSession, config: JobConfig, topic: str, group_id: str
         files = spark.readStream.schema(columns).options(**config.file_options())
         folder = f"{config['topic-root']}/{TOPIC_WRITERS[topic]}"
         return topic_values(files.parquet(folder).filter(F.col("topic") == topic))
-    return topic_values(
-        spark.readStream.format("kafka").options(**kafka_source(config, topic, group_id)).load()
-    )
+    messages = spark.readStream.format("kafka").options(**kafka_source(config, topic, group_id)).load()
+    return topic_values(messages.withColumn(LOG_POSITION, topic_position()))
 
 
 def kafka_source(config: JobConfig, topic: str, group_id: str) -> dict[str, str]:

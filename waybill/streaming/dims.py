@@ -12,18 +12,18 @@ from waybill.config import JobConfig
 from waybill.operators.routing import DimConfig, config_rows, dim_rows
 from waybill.plans.dim import dim_changes
 from waybill.streaming.sinks import trigger
-from waybill.streaming.tables import KeyedTable
+from waybill.streaming.tables import POSITION, RETAIN_SECONDS, KeyedTable
 
 
 class DimTables:
     """One keyed table per dimension below ``root``; every column is text."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, retain_seconds: float = RETAIN_SECONDS):
+        self.spark, self.root, self.retain_seconds = spark, root.rstrip("/"), retain_seconds
 
     def table(self, config: DimConfig) -> KeyedTable:
         ddl = ", ".join(f"`{c}` string" for c in config.columns)
-        return KeyedTable(self.spark, f"{self.root}/{config.sink_table}", ddl, [config.key])
+        return KeyedTable(self.spark, f"{self.root}/{config.sink_table}", ddl, [config.key], retain_seconds=self.retain_seconds)
 
     def read(self, config: DimConfig) -> DataFrame:
         return self.table(config).read()
@@ -45,7 +45,8 @@ def apply_dim_changes(
             table = tables.table(dim)
             table.create()
             if dim.source_table in present:
-                table.upsert(dim_rows(known, dim, [F.col("ts")]), batch_id)
+                order = [F.col(c) for c in ("ts", POSITION) if c in known.columns]
+                table.upsert(dim_rows(known, dim, order), batch_id)
             if batch_id % compact_every == compact_every - 1:
                 table.compact()
     finally:
