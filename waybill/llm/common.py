@@ -20,7 +20,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows by way of Parquet in the shared folder: lineage ends, lost executors repeat nothing."""
     path = session.work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.written_path = path
+    return made
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` whose last reader is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -32,12 +42,12 @@ def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows in batches of ``CHUNK_BYTES`` of text each, or of one longer row."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``size`` bytes of text each, or of one longer row."""
     for batch in batches:
         if batch.num_rows:
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
-            step = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64) // CHUNK_BYTES
+            step = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64) // size
             cuts = np.flatnonzero(np.diff(step)) + 1
             for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
                 yield batch.slice(a, b - a)

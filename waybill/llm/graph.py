@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import written
+from waybill.llm.common import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
     both = written(both.filter("node <> other").distinct(), "edges")
-    labels = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")), "labels")
+    labels = last = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
@@ -28,6 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
             "labels",
         )
         changed = lower.filter("new <> label").limit(1).count()
-        labels = lower.select("node", F.col("new").alias("label"))
+        forget(last)
+        labels, last = lower.select("node", F.col("new").alias("label")), lower
         if not changed:
+            forget(both)
             return labels

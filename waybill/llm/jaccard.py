@@ -5,16 +5,20 @@ shingles of two documents are at most the sum of the smaller counts of each grou
 the points find the pairs that may reach the threshold, and only those are verified.
 
 Boxes of long documents' counts overlap whatever they say, so a tree over the whole corpus would
-prune nothing at its top. Its top level is therefore an exact key instead of boxes. Documents of
-similar size use one number of groups, one more than the most shingles in which two that
-link can differ, so two that link agree wholly in at least one group. Size band, group and the
-digest of the group's shingles name a cell, and cells are what Spark deals out.
+prune nothing at its top. Its top level is therefore an exact key instead of boxes. In one order of
+all shingles, two sets that link share one of the first few of each: so many that fewer than the
+overlap that the threshold asks for come after them. Any order is right; here shingles that very
+many documents have come last, so that a passage that they share makes no cell of its own. These are
+told by counts over a sample of the documents, which decides nothing but the order. A shingle that
+several sets have among their first is a cell, and cells are what Spark deals out.
 
 Equal sets are one node. Every cell's nodes are first held against its smallest node only: in
-a cell of thousands of near copies that gives thousands of pairs and not millions. The pairs
-that remain are those of one cell in different components; trees over the group counts of such
-cells list them, in tiles of bounded size, and they are verified too. So no link between
-different sets is lost, while links inside a component need not all be listed.
+a cell of thousands of near copies that gives thousands of pairs and not millions. In cells that
+still hold several components, rounds of other members drawn as pivots follow while these find
+links. What remains are the pairs of one cell in different components; trees over the group counts
+of such cells list them, in tiles of bounded size, and they are verified too. So no link between
+different sets is lost, while links inside a component need not all be listed. Before texts are
+fetched, pairs are held against two bounds: the group counts, and the parities of many groups.
 
 Words are runs of characters other than the six ASCII white ones, with A-Z lower-cased. Null
 text and text without words is an empty set and links with nothing; with fewer words than a
@@ -28,17 +32,18 @@ execution splits their hot keys.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waybill.llm.common import chunks, flat_text, lists, written
+from waybill.llm.common import chunks, flat_text, forget, lists, ranges, written
 from waybill.llm.graph import components
 
 #: Words of a shingle, unless the caller says otherwise.
@@ -47,8 +52,13 @@ SHINGLE = 3
 LINK = (90, 100)
 #: Groups of the points that trees are built over.
 GROUPS = 32
-#: Sizes in one band differ by up to this factor.
-BAND = 1.4
+#: One of so many documents is sampled for the order of shingles, in 2**BUCKETS buckets.
+SAMPLED, BUCKETS = 16, 22
+#: Bits that tell whether an odd number of shingles is in a group: as many differ as shingles do, at most.
+PARITY = 1024
+#: Cells of a node in a round of pivots, the share of links that a round must find for another one,
+#: and members of a cell that are held against each other without a tree.
+PIVOTS, FRUITFUL, FEW = 4, 0.1, 64
 #: Points of a tree's leaf and children of its nodes; points of a tile.
 FANOUT, TILE = 32, 4096
 
@@ -101,52 +111,52 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE)
     return hashes, np.searchsorted(row, np.arange(len(sizes) + 1))
 
 
-def _bands(most: int) -> np.ndarray:
-    """Smallest size of each band, up to the one that holds ``most``."""
-    edges = [1]
-    while edges[-1] <= most:
-        edges.append(int(edges[-1] * BAND) + 1)
-    return np.array(edges)
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (_mixed(hashes, 20) >> np.uint64(64 - BUCKETS)).astype(np.int64)
 
 
-def _cells(hashes: np.ndarray, first: np.ndarray, link: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of each set, and where each set's begin."""
+def _sampled_counts(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """In how many of the documents there is a shingle of each bucket."""
+    for batch in chunks(batches):
+        found, many = np.unique(_bucket(shingle_sets(*flat_text(batch.column("text")), shingle)[0]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(many)], names=["bucket", "n"])
+
+
+def _common(rows: DataFrame, shingle: int) -> np.ndarray:
+    """How common the shingles of each bucket are, in powers of two above a bucket's share; 0 for most."""
+    part = rows.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0)
+    counts = part.mapInArrow(partial(_sampled_counts, shingle=shingle), "bucket long, n long")
+    counts = written(counts.groupBy("bucket").agg(F.sum("n").alias("n")), "sampled")
+    share = 4 * (1 + (counts.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKETS))
+    much = counts.filter(F.col("n") >= share).toArrow()  # 2**BUCKETS rows at most
+    grades = np.zeros(1 << BUCKETS, dtype=np.uint8)
+    grades[much["bucket"].to_numpy()] = np.minimum(1 + np.log2(much["n"].to_numpy() / share), 15)
+    forget(counts)
+    return grades
+
+
+def _cells(hashes: np.ndarray, first: np.ndarray, link: tuple[int, int], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set, and where each set's begin."""
     sizes = np.diff(first)
     low, high = link
-    edges = _bands(int(sizes.max(initial=1)))
-    band = np.searchsorted(edges, sizes, "right") - 1
-    parts = []
-    for step in (0, 1):
-        use = band + step
-        inside = (sizes > 0) if step == 0 else (sizes > 0) & (high * sizes >= low * edges[np.minimum(use, len(edges) - 1)])
-        top = np.maximum(1, (edges[np.maximum(use, 0)] * BAND).astype(np.int64) + 1) - 1
-        # shingles in which two linked sets of up to ``top`` differ
-        differ = 2 * top * (high - low) // (high + low)
-        inside &= differ > 0
-        groups = np.where(inside, differ + 1, 0)
-        base = np.cumsum(groups) - groups
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        kept = inside[row]
-        row, chosen = row[kept], hashes[kept]
-        group = (_mixed(chosen, 20) % groups[row].astype(np.uint64)).astype(np.int64)
-        sums = np.zeros(int(groups.sum()), dtype=np.uint64)
-        np.add.at(sums, base[row] + group, _mixed(chosen, 21))
-        owner = np.repeat(np.arange(len(sizes)), groups)
-        place = np.arange(len(owner)) - base[owner]
-        named = _mixed(sums ^ _mixed((use[owner] << 32 | place).astype(np.uint64), 22), 23)
-        parts.append((owner, named))
-    owner = np.concatenate([p[0] for p in parts])
-    order = np.argsort(owner, kind="stable")
-    cells = np.concatenate([p[1] for p in parts])[order].view(np.int64)
-    return cells, np.searchsorted(owner[order], np.arange(len(sizes) + 1))
+    # a set links with others only if it may with one that has a shingle more
+    may = (sizes > 0) & (low * (sizes + 1) <= high * sizes)
+    many = np.where(may, sizes + low * -sizes // high + 1, 0)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    mixed = _mixed(hashes, 22)
+    order = np.lexsort((mixed, grades[_bucket(hashes)], row))
+    return mixed[order[ranges(first[:-1], many)]].view(np.int64), np.append(0, np.cumsum(many))
 
 
 FEATURES = (
-    "row long, doc_id long, n_shingles long, k1 long, k2 long, points binary, cells array<long>, packed binary"
+    "row long, doc_id long, n_shingles long, k1 long, k2 long, points binary, parity binary, "
+    "cells array<long>, packed binary"
 )
 
 
-def _features(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+def _features(
+    batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int], grades: Broadcast
+) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in chunks(batches):
         data, offsets = flat_text(batch.column("text"))
@@ -160,7 +170,9 @@ def _features(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int,
             keys.append(pa.array(key.view(np.int64), mask=sizes == 0))
         group = (_mixed(hashes, 12) % np.uint64(GROUPS)).astype(np.int64)
         points = np.bincount(row * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
-        cells, cut = _cells(hashes, first, link)
+        odd = np.bincount(row * PARITY + (_mixed(hashes, 13) % np.uint64(PARITY)).astype(np.int64), minlength=n * PARITY)
+        parity = np.packbits((odd & 1).astype(np.uint8).reshape(n, PARITY), axis=1)
+        cells, cut = _cells(hashes, first, link, grades.value)
         raw = data.tobytes()
         yield pa.RecordBatch.from_arrays(
             [
@@ -169,6 +181,7 @@ def _features(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int,
                 pa.array(sizes.astype(np.int64)),
                 *keys,
                 pa.array([p.tobytes() for p in points]),
+                pa.array([p.tobytes() for p in parity]),
                 lists(cells, cut, pa.int64()),
                 pa.array([pack.compress(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]),
             ],
@@ -237,41 +250,77 @@ class CountTree:
         return first[fine], second[fine]
 
 
+def _may_link(one: np.ndarray, other: np.ndarray, link: tuple[int, int]) -> np.ndarray:
+    """Pairs of points whose summed smaller counts allow the threshold."""
+    return sum(link) * np.minimum(one, other).sum(axis=1) >= link[0] * (one.sum(axis=1) + other.sum(axis=1))
+
+
+def _column(batch: pa.RecordBatch | pa.Table, name: str, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch[name].to_pylist()), dtype=kind).reshape(-1, width)
+
+
 def _bounded(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose group counts allow the threshold."""
+    """Pairs whose group counts and parities allow the threshold."""
     for batch in batches:
-        points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int32).reshape(-1, GROUPS) for c in ("pa", "pb")]
-        common = np.minimum(*points).sum(axis=1)
-        fine = sum(link) * common >= link[0] * (points[0].sum(axis=1) + points[1].sum(axis=1))
-        yield batch.select(["a", "b"]).filter(pa.array(fine))
+        one, other = (_column(batch, c, np.int32, GROUPS) for c in ("points_a", "points_b"))
+        apart = np.bitwise_xor(*(_column(batch, c, np.uint8, PARITY // 8) for c in ("parity_a", "parity_b")))
+        total = one.sum(axis=1) + other.sum(axis=1)
+        near = sum(link) * np.bitwise_count(apart).sum(axis=1, dtype=np.int64) <= (link[1] - link[0]) * total
+        yield batch.select(["a", "b"]).filter(pa.array(_may_link(one, other, link) & near))
 
 
 def _listed(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by tile: pairs of different components that may reach the threshold."""
-    held: list[pa.RecordBatch] = []
 
-    def pairs() -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held)
-        if rows.num_rows > 1:
-            points = np.frombuffer(b"".join(rows["points"].to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
-            node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
-            a, b = CountTree(points, link).pairs()
-            apart = comp[a] != comp[b]
-            a, b = node[a[apart]], node[b[apart]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    def ordered(a, b):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def few(rows: pa.Table, tile: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All small tiles at once, by the distance of their rows."""
+        points, node, comp = _column(rows, "points", np.int32, GROUPS), rows["node"].to_numpy(), rows["comp"].to_numpy()
+        at, step = np.arange(len(tile)), 1
+        while len(at):
+            at = at[: np.searchsorted(at, len(tile) - step)]
+            at = at[tile[at] == tile[at + step]]
+            near = at[comp[at] != comp[at + step]]
+            near = near[_may_link(points[near], points[near + step], link)]
+            yield ordered(node[near], node[near + step])
+            step += 1
+
+    def many(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
+        a, b = CountTree(_column(rows, "points", np.int32, GROUPS), link).pairs()
+        apart = comp[a] != comp[b]
+        yield ordered(node[a[apart]], node[b[apart]])
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = np.column_stack([rows[c].to_numpy() for c in ("cell", "i", "j")])
+        heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        sizes = np.diff(np.append(heads, len(keys)))
+        small = np.repeat(sizes <= FEW, sizes)
+        if small.any():
+            yield from few(rows.filter(pa.array(small)), np.repeat(np.arange(len(sizes)), sizes)[small])
+        for head, size in zip(heads[sizes > FEW], sizes[sizes > FEW], strict=True):
+            yield from many(rows.slice(head, size).combine_chunks())
 
+    held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         keys = np.column_stack([batch.column(c).to_numpy() for c in ("cell", "i", "j")])
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        for x, y in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-            if held and tuple(keys[x]) != last:
-                yield from pairs()
-                held = []
-            last = tuple(keys[x])
-            held.append(batch.slice(x, y - x))
+        if held and (tuple(keys[0]) != last or len(cuts)):
+            cut = 0 if tuple(keys[0]) != last else cuts[0]
+            yield from pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held, batch, cuts = [], batch.slice(cut), cuts[cuts > cut] - cut
+        if len(cuts):
+            yield from pairs(pa.Table.from_batches([batch.slice(0, cuts[-1])]))
+            batch = batch.slice(cuts[-1])
+        held.append(batch)
+        last = tuple(keys[-1])
     if held:
-        yield from pairs()
+        yield from pairs(pa.Table.from_batches(held))
 
 
 def _verified(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -289,26 +338,50 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int,
 
     for batch in batches:
         fine = []
-        for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "xa", "xb")), strict=True):
+        for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "packed_a", "packed_b")), strict=True):
             one, other = sets(a, x), sets(b, y)
             common = len(np.intersect1d(one, other, assume_unique=True))
             fine.append(link[1] * common >= link[0] * (len(one) + len(other) - common))
         yield batch.select(["a", "b"]).filter(pa.array(fine, type=pa.bool_()))
 
 
-def _paired(pairs: DataFrame, nodes: DataFrame, column: str, names: tuple[str, str]) -> DataFrame:
-    for end, name in zip("ab", names, strict=True):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col(column).alias(name)).hint("merge"), end)
+def _paired(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """The columns of both nodes of each pair, named by the end that they are of."""
+    for end in "ab":
+        own = nodes.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
+        pairs = pairs.join(own.hint("merge"), end)
     return pairs
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, link: tuple[int, int]) -> DataFrame:
     """The pairs that link, each with its smaller node first."""
-    bounded = _paired(pairs, nodes, "points", ("pa", "pb")).mapInArrow(partial(_bounded, link=link), "a long, b long")
-    near = _paired(bounded, texts, "packed", ("xa", "xb"))
+    bounded = _paired(pairs, nodes, "points", "parity").mapInArrow(partial(_bounded, link=link), "a long, b long")
+    near = _paired(bounded, texts, "packed")
     return written(near.mapInArrow(partial(_verified, shingle=shingle, link=link), "a long, b long"), "links")
 
 
+def _open_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their components, of cells that still hold several."""
+    known = members.join(labels.hint("merge"), "node", "left").select(
+        "cell", "node", F.coalesce("label", "node").alias("comp")
+    )
+    mixed = known.groupBy("cell").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
+    )
+    return written(known.join(mixed.filter("low <> high").select("cell", "tiles").hint("merge"), "cell"), "open")
+
+
+def _pivots(open_: DataFrame, tried: DataFrame, round_: int) -> DataFrame:
+    """Nodes of open cells with a member of another component: of each cell one, of each node a few cells."""
+    drawn = F.xxhash64("cell", "node", F.lit(round_))
+    pivot = open_.groupBy("cell").agg(F.min_by(F.struct("node", "comp"), drawn).alias("pivot"))
+    some = W.partitionBy("node").orderBy(F.xxhash64("cell", F.lit(round_)))
+    pairs = open_.join(pivot.hint("merge"), "cell").filter(F.col("comp") != F.col("pivot.comp"))
+    pairs = pairs.withColumn("place", F.row_number().over(some)).filter(F.col("place") <= PIVOTS)
+    ends = F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")
+    return written(pairs.select(*ends).distinct().join(tried.hint("merge"), ["a", "b"], "left_anti"), "pivots")
+
+
 def groups(
     docs: DataFrame,
     row: str = "row",
@@ -323,16 +396,18 @@ def groups(
     component, one that has the component's id. Shingles have ``shingle`` words, and two sets
     link when ``link[1]`` * intersection >= ``link[0]`` * union.
     """
-    if shingle < 1 or not 0 < link[0] <= link[1] <= BAND * link[0]:
-        raise ValueError(f"sets that link must be of neighbouring bands: shingle {shingle}, link {link}")
+    if shingle < 1 or not 0 < link[0] <= link[1]:
+        raise ValueError(f"shingle {shingle}, link {link}")
     rows = docs.select(
         F.col(row).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    features = written(rows.mapInArrow(partial(_features, shingle=shingle, link=link), FEATURES), "features")
+    grades = docs.sparkSession.sparkContext.broadcast(_common(rows, shingle))
+    make = partial(_features, shingle=shingle, link=link, grades=grades)
+    features = written(rows.mapInArrow(make, FEATURES), "features")
     full = features.filter("n_shingles > 0")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     nodes = written(
-        full.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min_by("points", "row").alias("points"), best.alias("best")),
+        full.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min_by("points", "row").alias("points"), F.min_by("parity", "row").alias("parity"), best.alias("best")),
         "nodes",
     )
     with_cells = full.filter(F.size("cells") > 0).select("row", "cells").join(
@@ -349,23 +424,29 @@ def groups(
         members.select("cell", "least", F.explode(F.concat(F.array("head"), "others")).alias("node")), "cells"
     )
     stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    stars = written(stars, "stars")
     ends = members.select(F.col("node").alias("row")).distinct().hint("merge")
     texts = features.select("row", "packed").join(ends, "row", "left_semi")
     texts = written(texts.withColumnRenamed("row", "node"), "texts")
-    links = _links(stars, nodes, texts, shingle, link)
-    labels = components(links)
-    known = members.join(labels.hint("merge"), "node", "left").select(
-        "cell", "node", F.coalesce("label", "node").alias("comp")
-    )
-    mixed = known.groupBy("cell").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-    )
-    open_ = known.join(mixed.filter("low <> high").select("cell", "tiles").hint("merge"), "cell").join(
-        nodes.select("node", "points").hint("merge"), "node"
-    )
+    slim = written(features.drop("points", "parity", "cells", "packed"), "rows")
+    forget(features)
+    links, tried = [_links(stars, nodes, texts, shingle, link)], [stars]
+    labels = components(links[0])
+    while True:
+        open_ = _open_cells(members, labels)
+        tried.append(_pivots(open_, reduce(DataFrame.unionByName, tried), len(tried)))
+        links.append(_links(tried[-1], nodes, texts, shingle, link))
+        found, tests = links[-1].count(), tried[-1].count()
+        if found:
+            labels = components(reduce(DataFrame.unionByName, links))
+        forget(open_)
+        if found <= FRUITFUL * tests:
+            break
+    open_ = _open_cells(members, labels)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tiled = open_.withColumn("tile", tile).withColumn("other", other)
+    tiled = open_.join(nodes.select("node", "points").hint("merge"), "node").withColumn("tile", tile)
+    tiled = tiled.withColumn("other", other)
     tiled = tiled.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
     listed = (
         tiled.select("cell", "i", "j", "node", "comp", "points")
@@ -374,16 +455,18 @@ def groups(
         .mapInArrow(partial(_listed, link=link), "a long, b long")
         .distinct()
     )
-    more = written(listed.join(stars.hint("merge"), ["a", "b"], "left_anti"), "pairs")
+    more = written(listed.join(reduce(DataFrame.unionByName, tried).hint("merge"), ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
-        labels = components(links.unionByName(_links(more, nodes, texts, shingle, link)))
+        links.append(_links(more, nodes, texts, shingle, link))
+        labels = components(reduce(DataFrame.unionByName, links))
     named = nodes.join(labels.hint("merge"), "node", "left").select("k1", "k2", "best", F.coalesce("label", "node").alias("comp"))
     named = written(named, "named")
+    forget(nodes, members, texts, open_, more, *tried, *links)
     least = named.groupBy("comp").agg(F.min("best").alias("comp_best"))
     ids = named.join(least.hint("merge"), "comp").select(
         "k1", "k2", F.col("comp_best.doc_id").alias("component_id"), F.col("comp_best.row").alias("first_row")
     )
-    result = features.select("row", "doc_id", "n_shingles", "k1", "k2").join(ids.hint("merge"), ["k1", "k2"], "left")
+    result = slim.join(ids.hint("merge"), ["k1", "k2"], "left")
     empty = F.col("n_shingles") == 0
     return result.select(
         "row",

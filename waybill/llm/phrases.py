@@ -39,6 +39,8 @@ COVERED = 80
 BITS = 26
 #: Candidates of a trie; its arrays take some 150 bytes for each.
 SHARD = 1 << 20
+#: Bytes of text whose words are worked on at once.
+CHUNK = 4 << 20
 #: A word's code is two symbols of so many bits.
 SYMBOL = 10
 
@@ -64,17 +66,20 @@ class Words:
         data, offsets = flat_text(batch.column("text"))
         kind = _KIND[data]
         inside = kind == _WORD
-        begins = inside & ~np.append(False, inside)[:-1]
-        cut = offsets[:-1][np.diff(offsets) > 0]
-        begins[cut] = inside[cut]
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        full = np.flatnonzero(np.diff(offsets))
+        begins[offsets[full]] = inside[offsets[full]]
+        ends[offsets[full + 1] - 1] = inside[offsets[full + 1] - 1]
         starts = np.flatnonzero(begins)
-        ends = np.append((np.cumsum(inside) - 1)[starts], inside.sum()).astype(np.int64)
-        letters = np.ascontiguousarray(_LOWER[data[inside]])
-        coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(letters)).dictionary_encode()
-        text = np.searchsorted(offsets, starts, "right") - 1
+        stops = np.append(0, np.cumsum(np.flatnonzero(ends) + 1 - starts))
+        letters = _LOWER[data[inside]]
+        coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(stops), pa.py_buffer(letters)).dictionary_encode()
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
         self.known: pa.Array = coded.dictionary
-        self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.piece = np.cumsum(kind == _BREAK)[starts] + text
+        self.word = coded.indices.to_numpy(zero_copy_only=False)
+        self.piece = np.searchsorted(np.flatnonzero(kind == _BREAK), starts) + text
         langs = batch.column("lang").dictionary_encode()
         self.langs: list[str] = langs.dictionary.to_pylist()
         self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
@@ -104,9 +109,9 @@ def _once(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, size=CHUNK):
         words = Words(batch)
-        _, at, many = _once(words.lang * len(words.known) + words.word)
+        _, at, many = _once(words.lang * len(words.known) + words.word.astype(np.int64))
         hashes = words.hashes()[0][at].view(np.int64)
         langs = pa.array(words.langs, pa.string()).take(pa.array(words.lang[at]))
         yield pa.RecordBatch.from_arrays(
@@ -137,9 +142,9 @@ def _places(words: Words, bitmaps: list[np.ndarray]) -> Iterator[tuple[int, np.n
 
 def _hash_counts(bitmaps: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK):
             *_, (_, _, hashes) = _places(Words(batch), bitmaps.value)
-            found, _, many = _once(hashes)
+            found, many = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(many)], names=["hash", "f"])
 
     return run
@@ -149,7 +154,7 @@ def _named(bitmaps: Broadcast):
     """The words of the phrases that have a bit of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK):
             words = Words(batch)
             for size, at, hashes in _places(words, bitmaps.value[:-1]):
                 slot = _slot(hashes)
@@ -290,7 +295,7 @@ class PhraseTrie:
 def _phrase_counts(trie: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(trie.value.numbers), dtype=np.int64)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK):
             counts += trie.value.count(Words(batch))
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(trie.value.numbers[found]), pa.array(counts[found])], names=["number", "a"])
