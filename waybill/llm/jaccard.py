@@ -58,7 +58,7 @@ SAMPLED, BUCKETS = 16, 22
 PARITY = 1024
 #: Cells of a node in a round of pivots, the share of links that a round must find for another one,
 #: and members of a cell that are held against each other without a tree.
-PIVOTS, FRUITFUL, FEW = 4, 0.1, 64
+PIVOTS, FRUITFUL, FEW = 4, 0.02, 64
 #: Points of a tree's leaf and children of its nodes; points of a tile.
 FANOUT, TILE = 32, 4096
 
@@ -250,23 +250,38 @@ class CountTree:
         return first[fine], second[fine]
 
 
-def _may_link(one: np.ndarray, other: np.ndarray, link: tuple[int, int]) -> np.ndarray:
-    """Pairs of points whose summed smaller counts allow the threshold."""
-    return sum(link) * np.minimum(one, other).sum(axis=1) >= link[0] * (one.sum(axis=1) + other.sum(axis=1))
+class Bounds:
+    """Group counts and parities of nodes, which bound from above what two have in common."""
 
+    def __init__(self, rows: pa.RecordBatch | pa.Table, link: tuple[int, int], end: str = ""):
+        self.link = link
+        self.points = self._column(rows, f"points{end}", np.int32, GROUPS)
+        self.parity = self._column(rows, f"parity{end}", np.uint8, PARITY // 8)
+        self.size = self.points.sum(axis=1)
 
-def _column(batch: pa.RecordBatch | pa.Table, name: str, kind: type, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch[name].to_pylist()), dtype=kind).reshape(-1, width)
+    @staticmethod
+    def _column(rows: pa.RecordBatch | pa.Table, name: str, kind: type, width: int) -> np.ndarray:
+        return np.frombuffer(b"".join(rows[name].to_pylist()), dtype=kind).reshape(-1, width)
+
+    def allow(self, a: np.ndarray, other: Bounds, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs of nodes, by number, may reach the threshold."""
+        low, high = self.link
+        fine = np.zeros(len(a), dtype=bool)
+        for i in range(0, len(a), 8192):
+            x, y = a[i : i + 8192], b[i : i + 8192]
+            total = self.size[x] + other.size[y]
+            common = np.minimum(self.points[x], other.points[y]).sum(axis=1)
+            apart = np.bitwise_count(self.parity[x] ^ other.parity[y]).sum(axis=1, dtype=np.int64)
+            fine[i : i + 8192] = ((low + high) * common >= low * total) & ((low + high) * apart <= (high - low) * total)
+        return fine
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose group counts and parities allow the threshold."""
+    """Pairs that the bounds allow to link."""
     for batch in batches:
-        one, other = (_column(batch, c, np.int32, GROUPS) for c in ("points_a", "points_b"))
-        apart = np.bitwise_xor(*(_column(batch, c, np.uint8, PARITY // 8) for c in ("parity_a", "parity_b")))
-        total = one.sum(axis=1) + other.sum(axis=1)
-        near = sum(link) * np.bitwise_count(apart).sum(axis=1, dtype=np.int64) <= (link[1] - link[0]) * total
-        yield batch.select(["a", "b"]).filter(pa.array(_may_link(one, other, link) & near))
+        at = np.arange(batch.num_rows)
+        fine = Bounds(batch, link, "_a").allow(at, Bounds(batch, link, "_b"), at)
+        yield batch.select(["a", "b"]).filter(pa.array(fine))
 
 
 def _listed(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -275,23 +290,25 @@ def _listed(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterato
     def ordered(a, b):
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
+    def apart(rows: pa.Table, bounds: Bounds, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
+        other = comp[a] != comp[b]
+        a, b = a[other], b[other]
+        fine = bounds.allow(a, bounds, b)
+        return ordered(node[a[fine]], node[b[fine]])
+
     def few(rows: pa.Table, tile: np.ndarray) -> Iterator[pa.RecordBatch]:
         """All small tiles at once, by the distance of their rows."""
-        points, node, comp = _column(rows, "points", np.int32, GROUPS), rows["node"].to_numpy(), rows["comp"].to_numpy()
-        at, step = np.arange(len(tile)), 1
+        bounds, at, step = Bounds(rows, link), np.arange(len(tile)), 1
         while len(at):
             at = at[: np.searchsorted(at, len(tile) - step)]
             at = at[tile[at] == tile[at + step]]
-            near = at[comp[at] != comp[at + step]]
-            near = near[_may_link(points[near], points[near + step], link)]
-            yield ordered(node[near], node[near + step])
+            yield apart(rows, bounds, at, at + step)
             step += 1
 
     def many(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
-        a, b = CountTree(_column(rows, "points", np.int32, GROUPS), link).pairs()
-        apart = comp[a] != comp[b]
-        yield ordered(node[a[apart]], node[b[apart]])
+        bounds = Bounds(rows, link)
+        yield apart(rows, bounds, *CountTree(bounds.points, link).pairs())
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         keys = np.column_stack([rows[c].to_numpy() for c in ("cell", "i", "j")])
@@ -445,11 +462,11 @@ def groups(
     open_ = _open_cells(members, labels)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tiled = open_.join(nodes.select("node", "points").hint("merge"), "node").withColumn("tile", tile)
+    tiled = open_.join(nodes.select("node", "points", "parity").hint("merge"), "node").withColumn("tile", tile)
     tiled = tiled.withColumn("other", other)
     tiled = tiled.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
     listed = (
-        tiled.select("cell", "i", "j", "node", "comp", "points")
+        tiled.select("cell", "i", "j", "node", "comp", "points", "parity")
         .repartition("cell", "i", "j")
         .sortWithinPartitions("cell", "i", "j")
         .mapInArrow(partial(_listed, link=link), "a long, b long")
