@@ -474,3 +474,45 @@ def test_secrets_scan_unseen_blobs_only(spark, tmp_path):
     clean = extended.select(secrets.masked(F.col("text"), F.col("spans")).alias("t"), "text").collect()
     assert all(len(r.t) == len(r.text) and not found_by_rules(r.t) for r in clean if r.text)
     assert secrets.scan(table(spark, []), str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("lengths", [(1e-170, 1e-170), (1e160, 1e160), (1e200, 1e200), (1e-300, 1e100), (1e-170, 1.0)])
+def test_neighbours_of_any_finite_length(lengths):
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((300, 8)) * np.where(np.arange(300) % 2, *lengths)[:, None]
+    block = neighbours.Block(np.arange(300), vectors, 1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        for query, (ids, found) in zip(range(0, 300, 20), block.nearest(np.arange(0, 300, 20), vectors[::20], 10)):
+            assert len(set(ids.tolist())) == 10 and query not in ids
+            want = np.einsum("ij,j->i", vectors[ids], vectors[query])
+            assert (np.diff(found) <= 0)[np.isfinite(found[1:])].all() and not np.isnan(found).any()
+            assert (found == want)[np.isfinite(want)].all()
+
+
+def test_masking_is_linear(spark):
+    import time
+
+    text = "password: hunter2hunter2 é " * 20_000
+    spans = [("assign", m.start(), m.end()) for m in re.finditer("hunter2hunter2", text)]
+    df = spark.createDataFrame([(text, spans), (None, []), ("ab", []), ("abcdef", [("x", 1, 3), ("y", 2, 5)])], "text string, spans array<struct<kind:string,start:int,end:int>>")
+    df.select(secrets.masked(F.col("text"), F.col("spans"))).limit(1).collect()
+    start = time.time()
+    got = [r[0] for r in df.select(secrets.masked(F.col("text"), F.col("spans"))).collect()]
+    assert time.time() - start < 5
+    assert got == [text.replace("hunter2hunter2", "*" * 14), None, "ab", "a****f"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    texts = ["The password: hunter2hunter2 is in the house, and that was not the plan."] * 2 + ["And this is another one of those."]
+    docs = table(spark, texts).select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), "n_chars")
+    odd = ["row", "__row", "blob", "spans", "score", "lang_pred", "size", "copies", "copy", "taken", "cut", "source_name", "q_h", "a.b"]
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in odd})
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        made = work(spark, docs, "")
+        assert made.columns == docs.columns, name
+        rows = made.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in odd), name
+        empty = work(spark, docs.limit(0), "")
+        assert empty.columns == docs.columns and not empty.collect(), name

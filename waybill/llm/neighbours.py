@@ -44,11 +44,17 @@ CHANCE = 0.516
 MARGIN = 2.0
 
 
+def _scaled(vectors: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Vectors by a power of two, so that squares neither overflow nor vanish; the order of measures stays."""
+    return np.ldexp(vectors, -np.frexp(most)[1])
+
+
 class Block:
     """The sorted lines of a block's vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int):
         self.ids, self.exact = ids, vectors
+        self.scaled = vectors = _scaled(vectors, np.abs(vectors).max())
         square = np.einsum("ij,ij->i", vectors, vectors)
         self.square = float(square.max())
         lift = np.sqrt(np.maximum(self.square - square, 0))
@@ -69,7 +75,8 @@ class Block:
 
         A step widens the windows of all queries that still search.
         """
-        searches = [Search(self, i, q, k) for i, q in zip(query_ids, queries, strict=True)]
+        exact, queries = queries, _scaled(queries, np.abs(queries).max(axis=1, keepdims=True))
+        searches = [Search(self, i, q, e, k) for i, q, e in zip(query_ids, queries, exact, strict=True)]
         places = queries @ self.lines[:-1]
         radius = np.array([0.4 * np.sqrt(s.most) for s in searches])
         low = self.windows(places)
@@ -93,8 +100,8 @@ class Block:
 class Search:
     """What one query has counted and verified in a block."""
 
-    def __init__(self, block: Block, query_id: int, query: np.ndarray, k: int):
-        self.block, self.query = block, query
+    def __init__(self, block: Block, query_id: int, query: np.ndarray, exact: np.ndarray, k: int):
+        self.block, self.query, self.exact = block, query, exact
         self.left = block.ids != query_id
         self.k = min(k, int(self.left.sum()))
         self.most = float(query @ query) + block.square
@@ -110,7 +117,7 @@ class Search:
         if len(fresh):
             self.left[fresh] = False
             self.found = np.append(self.found, fresh)
-            self.scores = np.append(self.scores, np.einsum("ij,j->i", block.exact.take(fresh, axis=0), self.query))
+            self.scores = np.append(self.scores, np.einsum("ij,j->i", block.scaled.take(fresh, axis=0), self.query))
         if len(self.found) < self.k:
             return False
         return self.most - 2 * self.kth() <= radius * radius or not self.left.any()
@@ -121,7 +128,11 @@ class Search:
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         top = np.flatnonzero(self.scores >= self.kth()) if self.k else self.found
-        ids, scores = self.block.ids[self.found[top]], self.scores[top]
+        ids = self.block.ids[self.found[top]]
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.einsum("ij,j->i", self.block.exact.take(self.found[top], axis=0), self.exact)
+            # sums of products beyond all doubles of either sign: the measure has the scaled one's sign
+            scores = np.where(np.isfinite(scores), scores, np.sign(self.scores[top]) * np.inf)
         best = np.lexsort((ids, -scores))[: self.k]
         return ids[best], scores[best]
 
