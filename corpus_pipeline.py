@@ -6,6 +6,9 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,25 @@ LANGUAGE_SCORE = 0.5
 NEAR_SHINGLE, NEAR_LINK = 5, (80, 100)
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def stage(work: Callable) -> Callable:
+    """A stage that sees the five columns of documents; others, whatever their names, wait aside."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in DOCUMENT]
+        if not others:
+            return work(spark, docs, sf_dir)
+        aside = F.struct(*(F.col(f"`{c}`") for c in others)).alias("__others")
+        made = work(spark, docs.select(*DOCUMENT, aside), sf_dir)
+        return made.select(*(F.col("__others")[c].alias(c) if c in others else F.col(c) for c in docs.columns))
+
+    return run_stage
+
+
+@stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))), letter_pieces())
@@ -28,13 +50,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.predict(docs, model).filter(sure).select(docs.columns)
 
 
+@stage
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the Jaccard join, the one with the smallest id."""
-    numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    kept = jaccard.groups(numbered, shingle=NEAR_SHINGLE, link=NEAR_LINK).filter("first").select("row")
-    return numbered.join(kept, "row", "left_semi").select(docs.columns)
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.groups(numbered, row="__row", shingle=NEAR_SHINGLE, link=NEAR_LINK)
+    kept = groups.filter("first").select(F.col("row").alias("__row"))
+    return numbered.join(kept, "__row", "left_semi").select(docs.columns)
 
 
+@stage
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the characters of every finding replaced."""
     found = secrets.scan(docs, session.work_dir(spark, "secret-ledger"))
@@ -42,6 +67,7 @@ def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.withColumn("text", clean).select(docs.columns)
 
 
+@stage
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     measured = mixing.measure(docs)
@@ -77,8 +103,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of the corpus."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, work) in enumerate(STAGES):
+        docs = work(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = written(docs, "stage")
     return docs
