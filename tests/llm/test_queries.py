@@ -41,6 +41,24 @@ def test_native_operators_have_no_python(spark):
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+def test_language_stage_rejects_what_it_has_not_learned(spark):
+    import random
+
+    import corpus_pipeline
+
+    docs, rnd = spark.read.parquet(f"{SF}/documents.parquet"), random.Random(1)
+    noise = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(200))
+    finnish = "Suomen kieli on uralilaisten kielten itämerensuomalaiseen ryhmään kuuluva kieli, jota puhuvat pääosin suomalaiset"
+    odd = ["qwxz zzkq vvxq jjqk wxqz kkzz qqxv", noise, finnish, "我们 都是 好人", None, "1234 !!"]
+    clean = ["The house is on the hill and we are going there", "Der Hund ist im Haus und wir gehen nach Hause"]
+    rows = [(-i, t, None, "src0", None) for i, t in enumerate(odd + clean, 1)]
+    made = corpus_pipeline.known_language(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF)
+    kept = {r.doc_id for r in made.select("doc_id").collect()}
+    assert {i for i in kept if i < 0} == {-7, -8}
+    lettered = docs.filter("text rlike '[a-zA-Z]'").count()
+    assert sum(i >= 0 for i in kept) >= 0.99 * lettered
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     import tiktoken

@@ -179,9 +179,14 @@ def learn(docs: DataFrame, pieces: list[str], lang: str = "lang", text: str = "t
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns, ``lang_pred`` and ``score``, the language's share of the likelihood of all."""
+    """All columns, ``lang_pred``, ``score`` and ``fit``.
+
+    ``score`` is the language's share of the likelihood of all. It compares the languages only, so
+    ``fit`` tells how likely the text is at all: the mean log likelihood of its ``letters`` in the
+    language, null without letters.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "fit", "letters")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -189,16 +194,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             words = Words(model.pieces, batch.column(text))
             some = np.flatnonzero(np.diff(words.first) > 0) if model.languages else np.zeros(0, dtype=np.int64)
             pred, score = np.full(batch.num_rows, UNKNOWN, dtype=object), np.zeros(batch.num_rows)
+            fit, letters = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
             if len(some):
                 logs = np.add.reduceat(model.word_logs(words)[words.word], words.first[some])
                 best = logs.argmax(axis=1)
                 pred[some] = np.array(model.languages, dtype=object)[best]
+                sizes = np.bincount(words.owner, words.size)
+                letters[some] = np.add.reduceat(sizes[words.word], words.first[some])
+                fit[some] = logs.max(axis=1) / letters[some]
                 score[some] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-            added = [pa.array(pred, type=pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, "lang_pred", "score"])
+            added = [pa.array(pred, type=pa.string()), pa.array(score), pa.array(fit, mask=letters == 0), pa.array(letters)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, "lang_pred", "score", "fit", "letters"])
 
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
-    schema = rows.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(0.0)}).schema
+    added = {"lang_pred": "string", "score": "double", "fit": "double", "letters": "long"}
+    schema = rows.withColumns({c: F.lit(None).cast(kind) for c, kind in added.items()}).schema
     return rows.mapInArrow(run, schema)
 
 
