@@ -20,6 +20,8 @@ from waybill.llm.queries import letter_pieces
 
 #: A text whose language holds less than this share of the likelihood is rejected.
 LANGUAGE_SCORE = 0.5
+#: How far a text may be from what its language's training rows are, see ``known_language``.
+UNUSUAL, LEAST_SPREAD, SHORT = 2.0, 0.5, 2.0
 #: Near copies share at least four fifths of their shingles of five words.
 NEAR_SHINGLE, NEAR_LINK = 5, (80, 100)
 
@@ -44,10 +46,26 @@ def stage(work: Callable) -> Callable:
 
 @stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
-    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))), letter_pieces())
-    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)
-    return language.predict(docs, model).filter(sure).select(docs.columns)
+    """Documents whose language is recognised, and which are likely in that language.
+
+    The second is held against all training rows of the language: a text is rejected if the mean
+    log likelihood of its letters lies more than ``UNUSUAL`` times as far below their median as
+    that of the least likely thousandth does, with an allowance for short texts. Texts in a
+    language that was not learned, and letters without sense, are as unlikely as that.
+    """
+    learned = ~language.held_out(F.col("doc_id"))
+    model = language.learn(docs.filter(learned), letter_pieces())
+    names = {c: f"__{c}" for c in ("lang_pred", "score", "fit", "letters")}
+    predicted = written(language.predict(docs, model).withColumnsRenamed(names), "language")
+    trained = predicted.filter(learned & F.col("lang").isNotNull() & F.col("__fit").isNotNull())
+    usual = trained.groupBy("__lang_pred").agg(
+        F.percentile_approx("__fit", [0.001, 0.5], 10_000).alias("__usual")
+    )
+    rare, median = F.col("__usual")[0], F.col("__usual")[1]
+    far = UNUSUAL * F.greatest(median - rare, F.lit(LEAST_SPREAD)) + SHORT / F.sqrt("__letters")
+    likely = F.coalesce(F.col("__fit") >= median - far, F.lit(True))
+    sure = (F.col("__lang_pred") != language.UNKNOWN) & (F.col("__score") >= LANGUAGE_SCORE)
+    return predicted.filter(sure).join(usual, "__lang_pred", "left").filter(likely).select(docs.columns)
 
 
 @stage
