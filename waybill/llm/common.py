@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from waybill import session
 
 #: Bytes of text that a task works on at once; one longer document is a piece of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -53,7 +53,7 @@ LINK = (90, 100)
 #: Groups of the points that trees are built over.
 GROUPS = 32
 #: One of so many documents is sampled for the order of shingles, in 2**BUCKETS buckets.
-SAMPLED, BUCKETS = 16, 22
+SAMPLED, BUCKETS = 8, 22
 #: Bits that tell whether an odd number of shingles is in a group: as many differ as shingles do, at most.
 PARITY = 1024
 #: Cells of a node in a round of pivots, the share of links that a round must find for another one,
@@ -127,7 +127,8 @@ def _common(rows: DataFrame, shingle: int) -> np.ndarray:
     part = rows.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0)
     counts = part.mapInArrow(partial(_sampled_counts, shingle=shingle), "bucket long, n long")
     counts = written(counts.groupBy("bucket").agg(F.sum("n").alias("n")), "sampled")
-    share = 4 * (1 + (counts.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKETS))
+    mean = (counts.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKETS)
+    share = mean + 2 * np.sqrt(mean) + 1
     much = counts.filter(F.col("n") >= share).toArrow()  # 2**BUCKETS rows at most
     grades = np.zeros(1 << BUCKETS, dtype=np.uint8)
     grades[much["bucket"].to_numpy()] = np.minimum(1 + np.log2(much["n"].to_numpy() / share), 15)
@@ -434,12 +435,23 @@ def groups(
         _heads, "cell long, head long, others array<long>"
     )
     over = W.partitionBy("cell")
-    members = heads.withColumns({"least": F.min("head").over(over), "n": F.count("*").over(over)}).filter(
-        (F.col("n") > 1) | (F.size("others") > 0)
+    digest = "aggregate(others, xxhash64(head, {0}), (x, n) -> x ^ xxhash64(n, {0}))"
+    cells = heads.withColumns(
+        {
+            "least": F.min("head").over(over),
+            "n": F.sum(F.size("others") + 1).over(over),
+            "x": F.bit_xor(F.expr(digest.format(1))).over(over),
+            "y": F.bit_xor(F.expr(digest.format(2))).over(over),
+        }
     )
+    cells = written(cells.filter("n > 1"), "cells")
+    # the shingles of a shared passage make cells of the same members: one of these is enough
+    once = cells.groupBy("least", "n", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
+    members = cells.join(once.hint("merge"), "cell", "left_semi")
     members = written(
-        members.select("cell", "least", F.explode(F.concat(F.array("head"), "others")).alias("node")), "cells"
+        members.select("cell", "least", F.explode(F.concat(F.array("head"), "others")).alias("node")), "members"
     )
+    forget(cells)
     stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     stars = written(stars, "stars")
     ends = members.select(F.col("node").alias("row")).distinct().hint("merge")
