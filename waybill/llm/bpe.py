@@ -20,6 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -269,6 +270,20 @@ def encode(
     return _mapped(docs.select(*(F.col(f"`{c}`") for c in names)), run, ids, "array<int>")
 
 
+#: Ids that a task decodes at once.
+DECODE_IDS = 1 << 19
+
+
+def _by_ids(batches: Iterator[pa.RecordBatch], ids: str) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``DECODE_IDS`` ids each, or of one longer row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // DECODE_IDS)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and the bytes that the ids stand for: their pieces joined; null ids are none.
 
@@ -280,7 +295,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, known = pa.array(held.value[0], type=pa.large_binary()), held.value[1]
-        for batch in batches:
+        for batch in _by_ids(batches, ids):
             column = batch.column(ids).fill_null([]) if batch.column(ids).null_count else batch.column(ids)
             flat, ends = column.flatten(), column.offsets.to_numpy()
             if flat.null_count:
