@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waybill.llm.common import chunks, flat_text, forget, lists, ranges, written
+from waybill.llm.common import CHUNK_BYTES, chunks, flat_text, forget, lists, ranges, written
 from waybill.llm.graph import components
 
 #: Words of a shingle, unless the caller says otherwise.
@@ -349,25 +349,43 @@ def _listed(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterato
         yield from pairs(pa.Table.from_batches(held))
 
 
-def _verified(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Pairs of packed texts whose sets link."""
+def _set_of_each(packed: dict[int, bytes], shingle: int) -> dict[int, np.ndarray]:
+    """The sets of packed texts, all in one go."""
     unpack = zstandard.ZstdDecompressor()
+    raw = [unpack.decompress(p) for p in packed.values()]
+    offsets = np.append(0, np.cumsum([len(r) for r in raw], dtype=np.int64))
+    hashes, first = shingle_sets(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets, shingle)
+    return {node: hashes[a:b].copy() for node, a, b in zip(packed, first[:-1], first[1:], strict=True)}
+
+
+def _verified(batches: Iterator[pa.RecordBatch], shingle: int, link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Pairs of packed texts whose sets link; the texts of a run of pairs are opened at once."""
     held: dict[int, np.ndarray] = {}
 
-    def sets(node: int, packed: bytes) -> np.ndarray:
-        if node not in held:
-            if len(held) > 256:
-                held.clear()
-            data = np.frombuffer(unpack.decompress(packed), dtype=np.uint8)
-            held[node] = shingle_sets(data, np.array([0, len(data)]), shingle)[0]
-        return held[node]
+    def linked(pairs: list[tuple[int, int]], fresh: dict[int, bytes]) -> Iterator[bool]:
+        known = {node: held[node] for pair in pairs for node in pair if node not in fresh}
+        held.clear()
+        held.update(known | _set_of_each(fresh, shingle))
+        for a, b in pairs:
+            common = len(np.intersect1d(held[a], held[b], assume_unique=True))
+            yield link[1] * common >= link[0] * (len(held[a]) + len(held[b]) - common)
 
     for batch in batches:
-        fine = []
+        fine: list[bool] = []
+        pairs: list[tuple[int, int]] = []
+        fresh: dict[int, bytes] = {}
+        size = 0
         for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "packed_a", "packed_b")), strict=True):
-            one, other = sets(a, x), sets(b, y)
-            common = len(np.intersect1d(one, other, assume_unique=True))
-            fine.append(link[1] * common >= link[0] * (len(one) + len(other) - common))
+            if size > CHUNK_BYTES:
+                fine.extend(linked(pairs, fresh))
+                pairs, fresh, size = [], {}, 0
+            for node, packed in ((a, x), (b, y)):
+                if node not in held and node not in fresh:
+                    fresh[node] = packed
+                    size += zstandard.frame_content_size(packed)
+            pairs.append((a, b))
+        if pairs:
+            fine.extend(linked(pairs, fresh))
         yield batch.select(["a", "b"]).filter(pa.array(fine, type=pa.bool_()))
 
 
