@@ -5,7 +5,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -516,3 +518,48 @@ def test_stages_keep_columns_of_any_name(spark):
         assert rows and all(r[c] == f"own {c}" for r in rows for c in odd), name
         empty = work(spark, docs.limit(0), "")
         assert empty.columns == docs.columns and not empty.collect(), name
+
+
+def test_jaccard_pairs_are_verified_whatever_texts_are_opened_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcd"), size=n)) for n in (0, 1, 2, 3, 9, 40, 40, 400, 400, 3000)]
+    texts += [texts[7] + " a", texts[4].upper(), "word " * 5000]
+    packed = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    ends = [(a, b) for b in range(len(texts)) for a in range(b)]
+
+    def words(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 3]) for i in range(max(len(w) - 2, min(len(w), 1)))}
+
+    def near(a, b):
+        one, other = words(texts[a]), words(texts[b])
+        return 100 * len(one & other) >= 60 * len(one | other)
+
+    def batch(pairs):
+        a, b = [a for a, _ in pairs], [b for _, b in pairs]
+        columns = [a, b, [packed[i] for i in a], [packed[i] for i in b]]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        arrays = [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "packed_a", "packed_b"])
+
+    for size in (0, 100, 5000, 1 << 22):
+        monkeypatch.setattr(jaccard, "CHUNK_BYTES", size)
+        found = jaccard._verified(iter([batch(ends[:30]), batch([]), batch(ends[30:])]), 3, (60, 100))
+        linked = [p for f in found for p in zip(f["a"].to_pylist(), f["b"].to_pylist(), strict=True)]
+        assert linked == [e for e in ends if near(*e)]
+
+
+def test_jaccard_sets_that_link_share_one_of_their_first_keys():
+    rng = np.random.default_rng(6)
+    grades = rng.integers(0, 16, size=1 << jaccard.BUCKETS).astype(np.uint8)
+    for link in ((90, 100), (80, 100)):
+        for size in (10, 57, 400):
+            one = rng.integers(1, 1 << 63, size=size).astype(np.uint64)
+            other = one.copy()
+            changed = rng.choice(size, size=size // 25, replace=False)
+            other[changed] = rng.integers(1, 1 << 63, size=len(changed))
+            common = size - len(changed)
+            assert link[1] * common >= link[0] * (2 * size - common)
+            both = np.append(one, np.append(other, rng.integers(1, 1 << 63, size=3).astype(np.uint64)))
+            keys, cut = jaccard._cells(both, np.array([0, size, 2 * size, 2 * size + 3]), link, grades)
+            assert set(keys[: cut[1]]) & set(keys[cut[1] : cut[2]])
