@@ -563,3 +563,13 @@ def test_jaccard_sets_that_link_share_one_of_their_first_keys():
             both = np.append(one, np.append(other, rng.integers(1, 1 << 63, size=3).astype(np.uint64)))
             keys, cut = jaccard._cells(both, np.array([0, size, 2 * size, 2 * size + 3]), link, grades)
             assert set(keys[: cut[1]]) & set(keys[cut[1] : cut[2]])
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    plain = mixing.measure(table(spark, corpus()[:40]))
+    odd = plain.withColumns({c: F.lit(7) for c in ("cut", "source_name", "name", "rank", "rest", "target", "source_size")})
+    columns = ["doc_id", "size", "source_size", "target", "copies", "taken"]
+    found = mixing.take(odd, mixing.plan(odd))
+    expected = mixing.take(plain, mixing.plan(plain)).select(columns).collect()
+    assert sorted(found.select(columns).collect()) == sorted(expected)
+    assert {tuple(r) for r in found.select("cut", "source_name", "name", "rank", "rest").collect()} == {(7,) * 5}

@@ -92,7 +92,9 @@ def _rank() -> Column:
 
 
 def _joined(rows: DataFrame, by_source: DataFrame, source: str) -> DataFrame:
-    return rows.join(by_source, F.col(source).eqNullSafe(F.col("source_name")))
+    """The rows with ``source_size``, ``target`` and the names of ``by_source`` behind ``mix_``."""
+    own = by_source.withColumnsRenamed({"source_name": "mix_source", "cut": "mix_cut"})
+    return rows.drop("source_size", "target").join(own, F.col(f"`{source}`").eqNullSafe(F.col("mix_source")))
 
 
 def plan(
@@ -108,7 +110,7 @@ def plan(
     """
     shares = written(targets(measured, share, weights, most, source), "mix-targets")
     rows = _joined(measured.select(F.col(source), "size", "mix_u"), shares, source).select(
-        "source_name", "size", _rank().alias("rank")
+        F.col("mix_source").alias("source_name"), "size", _rank().alias("rank")
     )
     rest = shares.withColumn("rest", F.col("target") - F.floor(_copies()) * F.col("source_size"))
     open_, rows = rest.select("source_name", "rest"), rows.filter("rank is not null and size > 0")
@@ -150,11 +152,14 @@ def plan(
 
 
 def take(measured: DataFrame, plan: DataFrame, source: str = "source") -> DataFrame:
-    """Every row with ``source_size``, ``target``, ``copies`` (0 to the most) and ``taken`` words."""
-    copies = F.floor(_copies()) + F.when(_rank() <= F.col("cut"), 1).otherwise(0)
+    """Every row with ``source_size``, ``target``, ``copies`` (0 to the most) and ``taken`` words.
+
+    Columns of these names in the input are replaced; all others stay, whatever their names, but for ``mix_*``.
+    """
+    copies = F.floor(_copies()) + F.when(_rank() <= F.col("mix_cut"), 1).otherwise(0)
     return (
         _joined(measured, plan, source)
         .withColumn("copies", copies.cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("source_name", "cut", "mix_u")
+        .drop("mix_source", "mix_cut", "mix_u")
     )
