@@ -573,3 +573,18 @@ def test_mixing_keeps_columns_of_any_name(spark):
     expected = mixing.take(plain, mixing.plan(plain)).select(columns).collect()
     assert sorted(found.select(columns).collect()) == sorted(expected)
     assert {tuple(r) for r in found.select("cut", "source_name", "name", "rank", "rest").collect()} == {(7,) * 5}
+
+
+def test_repeats_write_no_texts_beside_the_shuffle(spark):
+    import os
+
+    from waybill import session
+
+    base = os.path.dirname(session.work_dir(spark, "probe"))
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    texts = [" ".join(f"w{i % 17}" for i in range(40))] * 3 + [None, "short text"]
+    docs = table(spark, texts, [3, 1, 2, 4, 5]).drop("row").withColumn("row", F.monotonically_increasing_id())
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in repeats.remove(docs).collect()}
+    assert got == {1: (40, 0), 2: (40, 40), 3: (40, 40), 4: (0, 0), 5: (2, 0)}
+    made = set(os.listdir(base)) - before if os.path.isdir(base) else set()
+    assert not [name for name in made if name.startswith("packed-texts")]

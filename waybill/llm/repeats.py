@@ -32,17 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import chunks, flat_text, ranges, written
+from waybill.llm.common import chunks, flat_text, ranges
 from waybill.llm.jaccard import _mixed, word_hashes
 
 WINDOW, ROUNDS = 13, 2
 _FAR = 1 << 40
 _NO_ID = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Words: runs of characters other than the six ASCII white ones.
+WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def _joined(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
@@ -161,10 +164,14 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch], step: int = 1024) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of batches and their texts, packed or plain; null text is empty."""
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for a in range(0, batch.num_rows, step):
             part = batch.slice(a, step)
+            if "packed" not in part.schema.names:
+                yield part, pa.compute.fill_null(part.column("text").cast(pa.large_binary()), b"")
+                continue
             raw = [unpack.decompress(x) for x in part.column("packed").to_pylist()]
             yield part, pa.array(raw, type=pa.large_binary())
 
@@ -236,7 +243,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hot_symbols(packed: DataFrame, hot: int, sample: int) -> np.ndarray:
-    """Symbols of ``hot`` windows or more, ascending; documents as long as that are all counted."""
+    """Symbols of ``hot`` windows or more, ascending; documents as long as that are all counted.
+
+    ``packed`` has ``row`` and ``n_words``, and ``packed`` or ``text``.
+    """
     long = F.col("n_words") >= hot
     chosen = F.pmod(F.xxhash64("row"), F.lit(sample)) == 0
     whole = packed.filter(long).mapInArrow(_counted, "symbol long, windows long")
@@ -352,16 +362,18 @@ def remove(
     rows = docs.select(
         F.col(row).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    packed = written(rows.mapInArrow(_pack, PACKED), "packed-texts")
-    total = packed.agg(F.sum("n_words")).first()[0] or 0
-    symbols = _hot_symbols(packed, hot, sample) if total >= hot else np.zeros(0, dtype=np.uint64)
-    met = packed.filter(F.col("n_words") >= WINDOW).mapInArrow(
+    # words are counted in the JVM and texts read where they are needed: packed texts are shuffled
+    # once, for the cut, and never written beside the shuffle
+    sized = rows.withColumn("n_words", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long"))
+    total = sized.agg(F.sum("n_words")).first()[0] or 0
+    symbols = _hot_symbols(sized, hot, sample) if total >= hot else np.zeros(0, dtype=np.uint64)
+    met = sized.filter(F.col("n_words") >= WINDOW).mapInArrow(
         _meeting(1 + total // bucket_words, symbols), "bucket long, parcel binary"
     )
     marks = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _compare, "row long, start int, windows int"
     )
     spans = marks.groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-    return packed.join(spans, "row", "left").mapInArrow(
+    return rows.mapInArrow(_pack, PACKED).join(spans, "row", "left").mapInArrow(
         _cut, "row long, doc_id long, n_words long, n_removed long, kept string"
     )
