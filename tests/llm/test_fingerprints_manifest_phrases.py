@@ -214,3 +214,14 @@ def test_double_array_finds_its_phrases_only():
             want.update(" ".join(parts[i:j]) for i in range(len(parts)) for j in range(i + 2, len(parts) + 1))
         counts = trie.count(phrases.Words(batch))
         assert [int(c) for c in counts] == [want[p] if at == lang else 0 for p, at in zip(known, langs, strict=True)]
+
+
+def test_phrase_counting_makes_a_row_per_place_not_per_task_and_phrase():
+    """Each chunk gives one row per place found, so the rows grow with the text, not tasks times phrases."""
+    known = ["a b", "b c", "a b c"]
+    trie = phrases.PhraseTrie(np.array([10, 11, 12]), pa.array(["en"] * 3), pa.array(known))
+    texts = ["a b c. a b", "x y", "b c b c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array(texts)], names=["lang", "text"])
+    made = list(phrases._phrase_places(type("B", (), {"value": trie})())(iter([batch])))
+    assert [b.schema.names for b in made] == [["number"]]
+    assert sorted(made[0].column("number").to_pylist()) == [10, 10, 11, 11, 11, 12]

@@ -9,7 +9,8 @@ count are candidates: equal hashes of different phrases only add to a sum, so th
 Candidates are then counted exactly. They are dealt to shards of bounded size by hash, and each
 shard becomes a double-array trie over language and words, which is broadcast. In each task numpy
 advances the states of all places of a chunk at once, a word at a time, and counts the accepting
-states; the tasks' counts are summed. There is one such pass for each shard.
+states; each place found is a row of its phrase's number, and Spark sums them. There is one such
+pass for each shard.
 
 A-Z are lower-cased, text is cut into pieces at ``.,;:!?`` and line ends, and words are runs of
 characters other than space and tab. Null text has no words; languages are counted apart, and null
@@ -275,7 +276,11 @@ class PhraseTrie:
 
     def count(self, words: Words) -> np.ndarray:
         """How often each phrase occurs."""
-        counts = np.zeros(len(self.numbers), dtype=np.int64)
+        return np.bincount(self.found(words), minlength=len(self.numbers))
+
+    def found(self, words: Words) -> np.ndarray:
+        """The phrase of each place at which one occurs, as its index."""
+        found = []
         known = pc.fill_null(pc.index_in(words.known, self.known.cast(words.known.type)), -1).to_numpy()
         code = known.astype(np.int64)[words.word]
         langs = np.array([self.langs.index(v) if v in self.langs else -1 for v in words.langs], dtype=np.int64)
@@ -287,18 +292,18 @@ class PhraseTrie:
             state = state[np.searchsorted(at, near)]
             state, kept = self.step(state, code[near + size - 1])
             at = near[kept]
-            found = self.accept[state]
-            counts += np.bincount(found[found >= 0], minlength=len(counts))
-        return counts
+            accepted = self.accept[state]
+            found.append(accepted[accepted >= 0])
+        return np.concatenate(found).astype(np.int64)
+
 
+def _phrase_places(trie: Broadcast):
+    """The number of the phrase at each place where one occurs; Spark sums them, so a task's rows grow with its text."""
 
-def _phrase_counts(trie: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(trie.value.numbers), dtype=np.int64)
         for batch in chunks(batches, size=CHUNK):
-            counts += trie.value.count(Words(batch))
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(trie.value.numbers[found]), pa.array(counts[found])], names=["number", "a"])
+            found = trie.value.found(Words(batch))
+            yield pa.RecordBatch.from_arrays([pa.array(trie.value.numbers[found])], names=["number"])
 
     return run
 
@@ -333,7 +338,8 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int =
         if rows.num_rows:
             columns = [rows[c].combine_chunks() for c in ("number", "lang", "phrase")]
             trie = spark.sparkContext.broadcast(PhraseTrie(columns[0].to_numpy(), *columns[1:]))
-            parts.append(written(texts.mapInArrow(_phrase_counts(trie), "number long, a long"), f"counts-{number}"))
+            places = texts.mapInArrow(_phrase_places(trie), "number long")
+            parts.append(written(places.groupBy("number").agg(F.count("*").alias("a")), f"counts-{number}"))
             trie.unpersist()
     if not parts:
         return words.drop("hash"), words.drop("hash").filter("false")
